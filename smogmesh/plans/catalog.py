@@ -26,8 +26,8 @@ from smogmesh.operators import regress as rg
 from smogmesh.operators import stations as st
 from smogmesh.schema import READING_COLUMNS, SENSOR_COLUMNS
 from smogmesh.session import scratch_path
-from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
-from smogmesh.streaming import alerts as sa
+from smogmesh.sources.readings import load_readings, readings_table, write_readings_csv
+from smogmesh.streaming import feeds as sa
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,11 +45,11 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def _raw(spark: SparkSession, d: str) -> DataFrame:
-    return readings_view(spark, d)
+    return readings_table(spark, d)
 
 
 def _clean(spark: SparkSession, d: str) -> DataFrame:
-    return cl.clean(readings_view(spark, d))
+    return cl.clean(readings_table(spark, d))
 
 
 def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -659,4 +659,6 @@ FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity <> 'NORMALE'"
 FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity = 'DANGER'"""
         ),
     }
+    # The export is read back from its JSON files: same records as the node view.
+    rows["network_export"] = rows["city_nodes"]
     return rows

@@ -1,5 +1,5 @@
 """Sources and sinks."""
 
-from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
+from smogmesh.sources.readings import load_readings, readings_table, readings_view, write_readings_csv
 
-__all__ = ["load_readings", "readings_view", "write_readings_csv"]
+__all__ = ["load_readings", "readings_table", "readings_view", "write_readings_csv"]

@@ -1,6 +1,6 @@
 """Structured Streaming jobs."""
 
-from smogmesh.streaming.alerts import (
+from smogmesh.streaming.feeds import (
     abnormal,
     alerts,
     read_feed,
