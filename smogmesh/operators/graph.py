@@ -64,13 +64,16 @@ def edges(df: DataFrame) -> DataFrame:
     """
     stations = df.select("line", "station_id", "city").distinct()
     w = Window.partitionBy("line", "city").orderBy("station_id")
-    nxt = stations.withColumn("_next", F.lead("station_id").over(w))
-    link = F.struct(F.col("station_id").cast("long").alias("src"), F.col("_next").cast("long").alias("dst"))
-    # Zero or one edge per station, emitted by a generator rather than a
-    # Filter on the window output: a Filter there makes the optimizer infer
-    # constraints through the whole cleaning plan, which costs minutes.
-    one = F.explode(F.filter(F.array(link), lambda p: p["dst"].isNotNull()))
-    return nxt.select("line", "city", one.alias("_e")).select("_e.src", "_e.dst", "line", "city")
+    return (
+        stations.withColumn("_next", F.lead("station_id").over(w))
+        .filter(F.col("_next").isNotNull())
+        .select(
+            F.col("station_id").cast("long").alias("src"),
+            F.col("_next").cast("long").alias("dst"),
+            "line",
+            "city",
+        )
+    )
 
 
 def both_directions(e: DataFrame) -> DataFrame:

@@ -42,6 +42,11 @@ def readings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields are blank, so cleaning has work to do.  The copies come from an
     ``explode`` over a one- or two-element sequence: a single scan of
     ``events``, no self-union.
+
+    The view is lazy: every plan over it re-derives the twenty columns, and a
+    predicate touching many of them (e.g. a hash of the whole row) is costly to
+    plan through twenty aliases.  Analyses should scan ``readings_table``,
+    the same rows written once as parquet.
     """
     events = _table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
@@ -101,10 +106,6 @@ def readings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rain": F.when((F.lit(40) + k % 60 > 70) & (eid % 5 < 2), F.lit(1)).otherwise(F.lit(0)).cast("int"),
     }
     # About 1 % of the events are read twice: exact copies for the dedupe step.
-    # The copies are made by an explode (a Generate) *above* the derived
-    # columns.  A Generate passes no inferred constraints upward, so plans built
-    # on the view do not re-derive constraints through twenty aliases of the
-    # same few inputs (which made planning of joins over it take minutes).
     derived = joined.select(
         *[c.alias(n) for n, c in cols.items()], F.when(eid % 100 == 1, 2).otherwise(1).alias("_n")
     )
