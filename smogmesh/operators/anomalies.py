@@ -48,7 +48,10 @@ def global_stats(df: DataFrame, cols: Sequence[str] = ZSCORE_COLUMNS) -> DataFra
 
 
 def _scalars(stats: DataFrame) -> dict[str, Column]:
-    return {name: stats.select(name).scalar() for name in stats.columns}
+    # One struct-valued scalar subquery: the one-row aggregate runs once and
+    # every field is read from the same result.
+    row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    return {name: row.getField(name) for name in stats.columns}
 
 
 def with_zscores(df: DataFrame, cols: Sequence[str] = ZSCORE_COLUMNS) -> DataFrame:

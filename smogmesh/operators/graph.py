@@ -223,7 +223,9 @@ def components(v: DataFrame, e: DataFrame, *, max_rounds: int = 200) -> DataFram
     pairs = cut_lineage(_normalise(e.select("src", "dst")))
     seen = _fingerprint(pairs)
     for _ in range(max_rounds):
-        nxt = cut_lineage(_normalise(_small_star(_normalise(_large_star(pairs)))))
+        # Large-star output already has src > dst and no self loops; repeats are
+        # harmless to small-star (min / join), so only its output is normalised.
+        nxt = cut_lineage(_normalise(_small_star(_large_star(pairs))))
         now = _fingerprint(nxt)
         pairs = nxt
         if now == seen:
