@@ -79,10 +79,14 @@ def readings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "line": F.when(
             (uid % 7 == 0) & (uid % 5 < 2) & (F.col("event_type") == "error"), F.lit("LX")
         ).otherwise(F.concat(F.lit("L"), line_no)),
-        "timestamp": F.floor(
-            F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-            / 1000
-        ).cast("long"),
+        # Epoch milliseconds of the UTC wall clock, from date and time parts of
+        # the timestamp_ntz: independent of the session time zone.
+        "timestamp": (
+            F.unix_date(F.to_date(ts)).cast("long") * 86_400_000
+            + F.hour(ts).cast("long") * 3_600_000
+            + F.minute(ts).cast("long") * 60_000
+            + F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("long")
+        ),
         "hour": hour.cast("int"),
         "day_of_week": (F.weekday(ts) + 1).cast("int"),
         "month": F.month(ts).cast("int"),
