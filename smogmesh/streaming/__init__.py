@@ -6,8 +6,9 @@ from smogmesh.streaming.feeds import (
     read_feed,
     read_sensors,
     run_alerts,
+    start_feed,
     with_severity,
     write_sensor_files,
 )
 
-__all__ = ["abnormal", "alerts", "read_feed", "read_sensors", "run_alerts", "with_severity", "write_sensor_files"]
+__all__ = ["abnormal", "alerts", "read_feed", "read_sensors", "run_alerts", "start_feed", "with_severity", "write_sensor_files"]

@@ -107,6 +107,28 @@ def run_alerts(
     return writer.start()
 
 
+def start_feed(
+    rows: DataFrame,
+    *,
+    fmt: str = "parquet",
+    path: str | None = None,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Append-mode sink for one feed (e.g. ``abnormal(stream)``): parquet, memory or console.
+
+    File sinks are exactly-once through their checkpoint and commit log.
+    """
+    writer = rows.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
+    if fmt == "console":
+        writer = writer.option("truncate", False)
+    if name or fmt == "memory":
+        writer = writer.queryName(name or "feed")
+    writer = writer.trigger(**(trigger or {"processingTime": "10 seconds"}))
+    return writer.start(path) if path else writer.start()
+
+
 def read_feed(spark: SparkSession, out: str, feed: str) -> DataFrame:
     """Read one output feed back as a batch DataFrame (``batch_id`` dropped)."""
     schema = T.StructType(

@@ -35,3 +35,18 @@ def test_stream_equals_batch_and_rejects_malformed_rows(spark):
     rejected = spark.read.parquet(f"{base}/out/rejected").count()
     assert rejected == 2
     assert len([d for d in os.listdir(f"{base}/out/abnormal") if d.startswith("batch_id=")]) >= 2
+
+
+def test_append_feed_to_parquet(spark):
+    from smogmesh.streaming import start_feed
+
+    base = tempfile.mkdtemp(prefix="smogmesh-feed-test-")
+    raw = readings_view(spark, SF_SMALL)
+    write_sensor_files(raw, f"{base}/in", files=3)
+    stream = read_sensors(spark, f"{base}/in", glob="part-*.csv", max_files=1)
+    q = start_feed(
+        alerts(stream), path=f"{base}/out", checkpoint=f"{base}/ckpt", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    batch = raw.select("station_id", "pm25", "pm10", "co2", "no2", "o3", "timestamp")
+    assert _rows(spark.read.parquet(f"{base}/out")) == _rows(alerts(batch))
