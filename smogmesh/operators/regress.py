@@ -36,6 +36,18 @@ def split(df: DataFrame, *, train_share: float = 0.8, seed: int = 42) -> tuple[D
     return tagged.filter(F.col("_h") < cut).drop("_h"), tagged.filter(F.col("_h") >= cut).drop("_h")
 
 
+def split_sizes(df: DataFrame, *, train_share: float = 0.8, seed: int = 42) -> DataFrame:
+    """One row: rows kept for modelling and the train / test sizes (one pass)."""
+    rows = prepare(df)
+    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(10_000))
+    cut = int(round(train_share * 10_000))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(h < cut).alias("n_train"),
+        F.count_if(h >= cut).alias("n_test"),
+    )
+
+
 def feature_stages(max_categories: int | None = None):
     line = StringIndexer(inputCol="line", outputCol="line_indexed", handleInvalid="keep")
     city = StringIndexer(inputCol="city", outputCol="city_indexed", handleInvalid="keep")

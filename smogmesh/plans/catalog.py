@@ -197,6 +197,7 @@ def queries() -> dict[str, Query]:
         "best_model": _best_model,
         "feature_importance": _feature_importance,
         "predictions": _predictions,
+        "model_split_sizes": lambda s, d: rg.split_sizes(_clean(s, d)),
     }
     return {k: _presented(fn) for k, fn in q.items()}
 

@@ -23,3 +23,11 @@ def test_fit_models_and_metrics(spark):
     assert best.r2 == max(r.r2 for r in table.values())
     imp = rg.feature_importance(spark, fitted).collect()
     assert len(imp) == 10 and all(x.importance_pct >= 0 for x in imp)
+
+
+def test_split_sizes_match_split(spark):
+    df = cl.clean(readings_view(spark, SF_SMALL))
+    row = rg.split_sizes(df).collect()[0]
+    train, test = rg.split(rg.prepare(df))
+    assert (row.n_train, row.n_test) == (train.count(), test.count())
+    assert row.n_rows == row.n_train + row.n_test == df.count()
