@@ -70,13 +70,17 @@ class Fitted:
     test: DataFrame
 
 
-def fit_models(df: DataFrame, *, seed: int = 42, max_bins: int = 32) -> Fitted:
-    """Fit the feature stages once, then the three regressors on the same train set."""
+def fit_models(
+    df: DataFrame, *, seed: int = 42, max_bins: int = 32, names: tuple[str, ...] = MODEL_NAMES
+) -> Fitted:
+    """Fit the feature stages once, then the regressors (all three by default) on the same train set."""
     train, test = split(prepare(df), seed=seed)
     features = Pipeline(stages=feature_stages()).fit(train)
     train_x = features.transform(train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     test_x = features.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
-    models = {name: est.fit(train_x) for name, est in regressors(max_bins=max_bins, seed=seed).items()}
+    models = {
+        name: est.fit(train_x) for name, est in regressors(max_bins=max_bins, seed=seed).items() if name in names
+    }
     train_x.unpersist()
     return Fitted(features, models, test_x)
 

@@ -98,8 +98,8 @@ def _stream_feed(feed: str) -> Query:
 # --- ML (no SQL oracle: rows-only check) -----------------------------------------------
 
 
-def _fitted(spark: SparkSession, d: str) -> rg.Fitted:
-    return rg.fit_models(_clean(spark, d))
+def _fitted(spark: SparkSession, d: str, names: tuple[str, ...] = rg.MODEL_NAMES) -> rg.Fitted:
+    return rg.fit_models(_clean(spark, d), names=names)
 
 
 def _model_metrics(spark, d):
@@ -111,11 +111,11 @@ def _best_model(spark, d):
 
 
 def _feature_importance(spark, d):
-    return rg.feature_importance(spark, _fitted(spark, d))
+    return rg.feature_importance(spark, _fitted(spark, d, ("random_forest",)))
 
 
 def _predictions(spark, d):
-    return rg.predictions(_fitted(spark, d), "random_forest").select("label", "prediction")
+    return rg.predictions(_fitted(spark, d, ("random_forest",)), "random_forest").select("label", "prediction")
 
 
 _FIXED_COLS = ("station_name", "hour", "day_of_week", "anomalie_type", "pm25", "pm10", "no2", "o3", "co2", "temperature")
