@@ -62,9 +62,10 @@ def quality_profile(df: DataFrame) -> DataFrame:
     return groups.agg(*aggs)
 
 
-def network_inventory(df: DataFrame) -> DataFrame:
-    """Lines and stations per city."""
-    return df.groupBy("city").agg(
+def network_inventory(df: DataFrame, *, totals: bool = True) -> DataFrame:
+    """Lines and stations per city; with ``totals`` a last row (city null) for the whole network."""
+    grouped = df.rollup("city") if totals else df.groupBy("city")
+    return grouped.agg(
         F.countDistinct("line").alias("n_lines"),
         F.countDistinct("station_id").alias("n_stations"),
         F.count(F.lit(1)).alias("n_readings"),

@@ -434,7 +434,7 @@ FROM (SELECT {", ".join(READING_COLUMNS)}, count(*) AS n FROM readings GROUP BY
         ),
         "network_inventory": _with(
             """SELECT city, count(DISTINCT line) AS n_lines, count(DISTINCT station_id) AS n_stations,
-  count(*) AS n_readings FROM readings GROUP BY city"""
+  count(*) AS n_readings FROM readings GROUP BY ROLLUP (city)"""
         ),
         "readings_csv": _with("SELECT * REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, round(wind_speed, 6) AS wind_speed) FROM readings"),
         "who_index": _with(f"SELECT station_id, timestamp, {r('pollution_index')} AS pollution_index FROM raw_i"),
