@@ -147,14 +147,22 @@ def propagate(
     adj = both_directions(e).persist(StorageLevel.MEMORY_AND_DISK)
     state = cut_lineage(v.select("id", F.col("pollution").alias("x")))
     for _ in range(rounds):
-        msgs = (
-            adj.join(state, adj.src == state.id)
-            .groupBy(adj.dst.alias("id"))
-            .agg(F.sum("x").alias("m"))
+        # Own value and incoming messages meet in one aggregation (one shuffle
+        # on id, partial sums map-side), instead of an aggregate then a join.
+        own = state.select("id", F.col("x").alias("own"), F.lit(None).cast("double").alias("m"))
+        msgs = adj.join(state, adj.src == state.id).select(
+            adj.dst.alias("id"), F.lit(None).cast("double").alias("own"), F.col("x").alias("m")
         )
-        nxt = state.join(msgs, "id", "left").select(
-            "id",
-            F.when(F.col("m").isNull(), F.col("x")).otherwise(F.col("x") + F.col("m") * F.lit(factor)).alias("x"),
+        nxt = (
+            own.unionByName(msgs)
+            .groupBy("id")
+            .agg(F.max("own").alias("x"), F.sum("m").alias("m"))
+            .select(
+                "id",
+                F.when(F.col("m").isNull(), F.col("x"))
+                .otherwise(F.col("x") + F.col("m") * F.lit(factor))
+                .alias("x"),
+            )
         )
         state = cut_lineage(nxt)
     adj.unpersist()
