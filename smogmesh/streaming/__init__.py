@@ -6,9 +6,10 @@ from smogmesh.streaming.feeds import (
     read_feed,
     read_sensors,
     run_alerts,
+    run_separate,
     start_feed,
     with_severity,
     write_sensor_files,
 )
 
-__all__ = ["abnormal", "alerts", "read_feed", "read_sensors", "run_alerts", "start_feed", "with_severity", "write_sensor_files"]
+__all__ = ["abnormal", "alerts", "read_feed", "read_sensors", "run_alerts", "run_separate", "start_feed", "with_severity", "write_sensor_files"]

@@ -129,6 +129,21 @@ def start_feed(
     return writer.start(path) if path else writer.start()
 
 
+def run_separate(
+    stream: DataFrame, out: str, *, checkpoint: str, trigger: dict | None = None
+) -> list[StreamingQuery]:
+    """The two feeds as two independent append queries on one source.
+
+    Each query lists and reads the source on its own (every file is read
+    twice); ``run_alerts`` does the same work with one read per batch.
+    Wait on both with ``spark.streams.awaitAnyTermination()``.
+    """
+    return [
+        start_feed(abnormal(stream), path=f"{out}/abnormal", checkpoint=f"{checkpoint}/abnormal", trigger=trigger),
+        start_feed(alerts(stream), path=f"{out}/alerts", checkpoint=f"{checkpoint}/alerts", trigger=trigger),
+    ]
+
+
 def read_feed(spark: SparkSession, out: str, feed: str) -> DataFrame:
     """Read one output feed back as a batch DataFrame (``batch_id`` dropped)."""
     schema = T.StructType(

@@ -50,3 +50,18 @@ def test_append_feed_to_parquet(spark):
     q.awaitTermination()
     batch = raw.select("station_id", "pm25", "pm10", "co2", "no2", "o3", "timestamp")
     assert _rows(spark.read.parquet(f"{base}/out")) == _rows(alerts(batch))
+
+
+def test_two_separate_queries(spark):
+    from smogmesh.streaming import run_separate
+
+    base = tempfile.mkdtemp(prefix="smogmesh-two-test-")
+    raw = readings_view(spark, SF_SMALL)
+    write_sensor_files(raw, f"{base}/in", files=2)
+    stream = read_sensors(spark, f"{base}/in", glob="part-*.csv")
+    qs = run_separate(stream, f"{base}/out", checkpoint=f"{base}/ckpt", trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    batch = raw.select("station_id", "pm25", "pm10", "co2", "no2", "o3", "timestamp")
+    assert _rows(spark.read.parquet(f"{base}/out/abnormal")) == _rows(abnormal(batch))
+    assert _rows(spark.read.parquet(f"{base}/out/alerts")) == _rows(alerts(batch))
