@@ -46,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def _readable(data: str) -> Column:
     """Bytes as text without the pieces of characters that a cut left over."""
-    return F.regexp_replace(F.make_valid_utf8(F.col(data).cast("string")), "\ufffd", "")
+    return F.regexp_replace(F.make_valid_utf8(F.col(data).cast("string")), "\uFFFD", "")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept = repeats.remove_repeats(docs.select("doc_id", "text"), with_text=True).filter("n_removed > 0 or doc_id is null")
     kept = written(kept.select("doc_id", "n_bytes", "n_removed", "kept"), "pipeline-kept")
     cut = kept.filter("doc_id is not null").select(
-        "doc_id", F.try_validate_utf8(F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")).alias("_new"), "n_bytes", "n_removed"
+        "doc_id", _readable("kept").alias("_new"), "n_bytes", "n_removed"
     )
     both = docs.join(cut, "doc_id", "left").filter("_new is null or n_removed < n_bytes")
     text = F.coalesce("_new", "text")
