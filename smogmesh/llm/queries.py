@@ -98,15 +98,17 @@ def queries() -> dict[str, Query]:
 
 #: The k best by brute force: every query vector against every other row.
 _TOP_K_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-  FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+WITH e AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+), bad AS (
+  SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x)
+), v AS (
+  SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS q
+  FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id
-  WHERE a.vec_id % 100 = 0
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.q * b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.i = b.i AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0 GROUP BY a.vec_id, b.vec_id
 ), r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
@@ -114,10 +116,31 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def _base32_sql(hex_digest: str) -> str:
+    parts = []
+    for group in range(8):
+        value = f"CAST('0x' || substr({hex_digest}, {5 * group + 1}, 5) AS INTEGER)"
+        parts += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({value} >> {s}) & 31) + 1, 1)" for s in (15, 10, 5, 0)]
+    return " || ".join(parts)
+
+
+_WARC_SQL = f"""
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT h, max(page_id) AS best FROM p GROUP BY h
+)
+SELECT page_id, payload_bytes, {_base32_sql('p.h')} AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+FROM p JOIN m ON p.h = m.h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    sql = {"op3_top_k": _TOP_K_SQL}
+    sql = {"op3_top_k": _TOP_K_SQL, "op9_warc": _WARC_SQL}
     if corpus_pipeline.ORACLE_SQL is not None:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
