@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from smogmesh.llm.common import byte_codes, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches, written
 
-LENGTH, GRAM = 100, 20
+LENGTH, GRAM = 100, 24
 
 
 # -- cutting texts at anchors ------------------------------------------------------------
@@ -41,17 +41,20 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(rows: list[bytes], length: int, gram: int):
-    """Runs of all texts: (row, start, strings, anchor hash, hash of the run).
+    """Runs of all texts: (row, start, strings, anchor hash, hash of the run, hashes of its two sides).
 
     A run covers ``strings`` neighbouring strings of ``length`` bytes that
-    share the anchor at the same place of the text.
+    share the anchor at the same place of the text.  A string reaches over at
+    least half of what it has beside the anchor to the left or to the right;
+    the sides are those halves of the text, 0 where no string of the run
+    reaches over them.  Two runs that share a string have an equal side.
     """
     data = np.frombuffer(b"".join(rows), dtype=np.uint8)
     size = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
     end = np.cumsum(size)
     empty = np.zeros(0, dtype=np.int64)
     if len(data) < length:
-        return empty, empty, empty, empty, empty
+        return (empty,) * 7
     s = prefix_sums(data, byte_codes())
     at = np.arange(len(data) - gram + 1)
     h = span_hash(s, at, at + gram)
@@ -68,7 +71,13 @@ def runs_of(rows: list[bytes], length: int, gram: int):
     total = np.cumsum(inside)
     strings = np.diff(np.append(total[start] - 1, total[-1] if len(total) else 0))
     whole = mix64(span_hash(s, start, start + strings + length - 1) + (place[start] - start).astype(np.uint64))
-    return row[start], start - (end - size)[row[start]], strings, signed(h[place[start]]), signed(whole)
+    p, half = place[start], (length - gram) // 2
+    left, right = p - start >= half, p - (start + strings - 1) <= length - gram - half
+    side_l, side_r = np.zeros(len(p), dtype=np.uint64), np.zeros(len(p), dtype=np.uint64)
+    side_l[left] = span_hash(s, p[left] - half, p[left])
+    side_r[right] = span_hash(s, p[right] + gram, p[right] + gram + half)
+    sides = [x.astype(np.uint32).astype(np.int64) for x in (side_l, side_r)]
+    return row[start], start - (end - size)[row[start]], strings, signed(h[p]), signed(whole), *sides
 
 
 def _bytes(batch: pa.RecordBatch, lo: int, hi: int) -> list[bytes]:
@@ -83,30 +92,42 @@ def _run_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
     to no anchor, so frequent passages reach an anchor once per batch.
     """
     schema = pa.schema(
-        [("anchor", pa.int64()), ("whole", pa.int64()), ("id", pa.int64()), ("start", pa.int32()), ("strings", pa.int16()), ("again", pa.bool_())]
+        [
+            ("anchor", pa.int64()), ("whole", pa.int64()), ("sides", pa.int64()), ("id", pa.int64()), ("start", pa.int32()),
+            ("strings", pa.int16()), ("again", pa.bool_()),
+        ]
     )
 
+    def runs(batch: pa.RecordBatch, lo: int, hi: int):
+        # Small pieces for the arrays of all bytes, joined for the comparison of runs.
+        parts = []
+        part = batch.slice(lo, hi - lo)
+        for a, b in text_batches(part, "_text", 1 << 18):
+            found = runs_of(_bytes(part, a, b), length, gram)
+            parts.append((found[0] + a, *found[1:]))
+        return [np.concatenate(x) for x in zip(*parts)]
+
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             ids = batch.column("_id").to_numpy()
             for lo, hi in text_batches(batch, "_text", 8 << 20):
-                row, start, strings, anchor, whole = runs_of(_bytes(batch, lo, hi), length, gram)
+                row, *columns = runs(batch, lo, hi)
                 own = ids[lo:hi][row]
-                order = np.lexsort((start, own, anchor, whole))
-                row, start, strings, anchor, whole, own = (x[order] for x in (row, start, strings, anchor, whole, own))
-                again = np.zeros(len(row), dtype=bool)
+                order = np.lexsort((columns[0], own, columns[2], columns[3]))
+                own, start, strings, anchor, whole, left, right = (x[order] for x in (own, *columns))
+                again = np.zeros(len(own), dtype=bool)
                 again[1:] = (whole[1:] == whole[:-1]) & (anchor[1:] == anchor[:-1])
                 # What is known to repeat needs no anchor; any number spreads it.
                 spread = np.where(again, signed(mix64(own.astype(np.uint64) + start.astype(np.uint64))), anchor)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(spread), pa.array(whole), pa.array(own), pa.array(start.astype(np.int32)),
-                        pa.array(strings.astype(np.int16)), pa.array(again),
+                        pa.array(spread), pa.array(whole), pa.array(left << 32 | right), pa.array(own),
+                        pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int16)), pa.array(again),
                     ],
                     schema=schema,
                 )
 
-    return rows.mapInArrow(run, "anchor long, whole long, id long, start int, strings short, again boolean")
+    return rows.mapInArrow(run, "anchor long, whole long, sides long, id long, start int, strings short, again boolean")
 
 
 def _fates(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +139,18 @@ def _fates(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     again = c["again"] | ~first
     group = np.cumsum(new) - 1
     contents = np.bincount(group, weights=~again)
-    return again, ~again & (contents[group] > 1)
+    shared = ~again & (contents[group] > 1)
+    # Of an anchor's contents, only those that have a side in common with another one.
+    at = np.flatnonzero(shared)
+    twin = np.zeros(len(at), dtype=bool)
+    for side in (c["sides"][at] >> 32, c["sides"][at] & 0xFFFFFFFF):
+        order = np.lexsort((side, group[at]))
+        g, v = group[at][order], side[order]
+        same = (g[1:] == g[:-1]) & (v[1:] == v[:-1]) & (v[1:] != 0)
+        twin[order[1:][same]] = True
+        twin[order[:-1][same]] = True
+    shared[at[~twin]] = False
+    return again, shared
 
 
 def _resolved(runs: DataFrame) -> DataFrame:
@@ -167,60 +199,64 @@ def column_suffix_array(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.n
     """
     m = len(rows)
     size = np.fromiter(map(len, rows), dtype=np.int64, count=m)
-    data = np.frombuffer(b"".join(rows), dtype=np.uint8).astype(np.int16) + 1
+    data = np.frombuffer(b"".join(rows), dtype=np.uint8)
+    used = np.bincount(data, minlength=256) > 0
+    # Symbols numbered from 1 in their order: one byte each, unless all 256 occur.
+    number = np.cumsum(used).astype(np.uint8 if used.sum() < 256 else np.uint16)
+    data = number[data]
     end = np.cumsum(size)
-    bwt = np.zeros(m, dtype=np.int16)
-    lcp = np.zeros(m, dtype=np.int16)
+    small = np.uint8 if size.max(initial=0) < 255 else np.int32
+    bwt = np.zeros(m, dtype=data.dtype)
+    lcp = np.zeros(m, dtype=small)
     owner = np.arange(m, dtype=np.int32)
-    age = np.zeros(m, dtype=np.int16)
+    age = np.zeros(m, dtype=small)
     at = np.arange(m)  # place of the suffix that each row inserted last
+    # For each suffix c + T, in order: the symbol c and the place of T; both rise together.
+    keys = np.zeros(0, dtype=np.int64)
+    low = np.int64((1 << 32) - 1)
     for depth in range(1, int(size.max(initial=0)) + 1):
         grow = np.flatnonzero(size >= depth)
-        fresh = at[grow]
-        bwt[fresh] = data[end[grow] - depth]
-        is_fresh = np.zeros(len(bwt), dtype=bool)
-        is_fresh[fresh] = True
-        # Suffixes c + T in order: their tails T in order, stably by the symbol c before them.
-        tails = np.flatnonzero(bwt)
-        tails = tails[np.argsort(bwt[tails], kind="stable")]
-        new = is_fresh[tails]
-        old = ~new
-        n = m + len(tails)
+        symbol = data[end[grow] - depth]
+        bwt[at[grow]] = symbol
+        fresh = symbol.astype(np.int64) << 32 | at[grow]
+        order = np.argsort(fresh)
+        fresh, grow = fresh[order], grow[order]
+        into = np.searchsorted(keys, fresh)
+        n_old, n_new = len(keys), len(fresh)
+        k = into + np.arange(n_new)
+        shift = np.repeat(np.arange(n_new + 1), np.diff(np.concatenate([[0], into, [n_old]])))
+        moved = np.arange(n_old) + shift  # where the suffixes known before go, in the same order
 
         def merged(values: np.ndarray, fill) -> np.ndarray:
-            out = np.empty(n, dtype=values.dtype)
+            out = np.empty(m + n_old + n_new, dtype=values.dtype)
             out[:m] = values[:m]
             body = out[m:]
-            body[old] = values[m:]
-            body[new] = fill
+            body[moved] = values[m:]
+            body[k] = fill
             return out
 
+        both = np.empty(n_old + n_new, dtype=np.int64)
+        both[moved] = keys
+        both[k] = fresh
+        tails = both & low
         # Common prefixes change only beside new suffixes: one more than the least between the tails.
-        touched = new.copy()
-        touched[1:] |= new[:-1]
-        touched[0] = True
-        k = np.flatnonzero(touched)
-        value = np.zeros(len(k), dtype=np.int16)
-        same = np.zeros(len(k), dtype=bool)
-        inner = k > 0
-        symbols = bwt[tails]
-        same[inner] = symbols[k[inner]] == symbols[k[inner] - 1]
-        if same.any():
-            lo, hi = tails[k[same] - 1] + 1, tails[k[same]] + 1
-            order = np.argsort(lo, kind="stable")
+        beside = np.zeros(len(both) + 1, dtype=bool)
+        beside[k] = beside[k + 1] = True
+        touched = np.flatnonzero(beside[:-1])
+        inner = touched[touched > 0]
+        same = inner[both[inner] >> 32 == both[inner - 1] >> 32]
+        next_lcp = merged(lcp, 0)
+        next_lcp[m + touched] = 0
+        if len(same):
+            lo, hi = tails[same - 1] + 1, tails[same] + 1
+            order = np.argsort(lo)
             spans = np.empty(2 * len(lo), dtype=np.int64)
             spans[::2], spans[1::2] = lo[order], hi[order]
-            least = np.empty(len(lo), dtype=np.int16)
-            least[order] = np.minimum.reduceat(np.append(lcp, np.int16(0)), spans)[::2]
-            value[same] = least + 1
-        next_lcp = merged(lcp, 0)
-        next_lcp[m + k] = value
-        next_owner = merged(owner, owner[tails[new]])
-        next_age = merged(age, depth)
-        next_bwt = merged(bwt, 0)
-        bwt, lcp, owner, age = next_bwt, next_lcp, next_owner, next_age
-        where = m + np.flatnonzero(new)
-        at[owner[where]] = where
+            least = np.minimum.reduceat(np.append(lcp, small(0)), spans)[::2]
+            next_lcp[m + same[order]] = least + 1
+        keys = both + np.concatenate([np.zeros(m, dtype=np.int64), shift])[tails]
+        bwt, lcp, owner, age = merged(bwt, 0), next_lcp, merged(owner, grow), merged(age, depth)
+        at[grow] = m + k
     return owner[m:], age[m:], lcp[m:]
 
 
