@@ -19,12 +19,13 @@ thousands of near copies from meeting in pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogmesh.llm.common import byte_codes, mix64, prefix_sums, signed, span_hash, text_batches, written
@@ -80,7 +81,7 @@ def _texts(batch: pa.RecordBatch, lo: int, hi: int) -> list[bytes]:
     return [v or b"" for v in col.to_pylist()]
 
 
-def heavy_shingles(docs: DataFrame, k: int, *, sample_docs: int = 20_000, size: int = 200_000) -> np.ndarray:
+def heavy_shingles(docs: DataFrame, k: int, *, sample_docs: int = 4_000, size: int = 200_000) -> np.ndarray:
     """The most frequent shingles of about ``sample_docs`` documents, least frequent first.
 
     They go last in the order of pivots.  The order is exact for any such
@@ -102,7 +103,11 @@ def heavy_shingles(docs: DataFrame, k: int, *, sample_docs: int = 20_000, size:
 
 
 def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> DataFrame:
-    """``_id, n, s1, s2, prefix``: set size, set identity and the pivots of each document."""
+    """``_id, n, s1, s2, prefix``: set size, set identity and the pivots of each document.
+
+    Of documents with one set, only the first that a task meets lists pivots
+    (a task remembers up to a million sets), so copies meet in no region.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     schema = pa.schema(
         [("_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("prefix", pa.list_(pa.int64()))]
@@ -112,6 +117,7 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
         late = shared.value
         by_hash = np.argsort(late)
         sorted_late = late[by_hash]
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for lo, hi in text_batches(batch, "_text", 4 << 20):
                 r, h = shingle_hashes(_texts(batch, lo, hi), k)
@@ -131,6 +137,13 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
                 order = np.lexsort((g, rank, r))
                 # ceil(keep * n) shared shingles at least: the first n - that + 1 must hold one.
                 length = np.where(n > 0, n - -(-(keep.numerator * n) // keep.denominator) + 1, 0)
+                first, second = signed(s1[ends] - s1[ends - n]), signed(s2[ends] - s2[ends - n])
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                for i, same in enumerate(zip(first.tolist(), second.tolist())):
+                    if same in seen:
+                        length[i] = 0
+                    seen.add(same)
                 place = np.arange(len(g)) - np.repeat(ends - n, n)
                 chosen = place < np.repeat(length, n)
                 offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
@@ -138,7 +151,7 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_id").slice(lo, m), pa.array(n.astype(np.int64)),
-                        pa.array(signed(s1[ends] - s1[ends - n])), pa.array(signed(s2[ends] - s2[ends - n])), prefix,
+                        pa.array(first), pa.array(second), prefix,
                     ],
                     schema=schema,
                 )
@@ -186,6 +199,18 @@ def _measured(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "p long, m long, inter long, total long")
 
 
+def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
+    """Regions ``r, m`` split into rings: each member in its own ring and, as a guest, in the next.
+
+    Two members whose rings are the same or neighbours meet once.  Rings
+    without a member of their own, or with one alone, are done.
+    """
+    places = F.array(*[F.struct((ring + i).alias("g"), F.lit(1 - i).alias("home")) for i in (0, 1)])
+    split = regions.select("r", "m", F.explode(places).alias("z")).select(F.xxhash64("r", "z.g").alias("r"), "m", "z.home")
+    alive = split.groupBy("r").agg(F.sum("home").alias("h"), F.count(F.lit(1)).alias("c")).filter("h > 0 and c > 1")
+    return split.join(alive.select("r"), "r").select("r", "m")
+
+
 def components(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, slots: int = 256
 ) -> DataFrame:
@@ -208,16 +233,26 @@ def components(
     # Classes: documents with the same set.  One member stands for all; s1 names the class.
     full = prof.filter("n > 0 and _id is not null")
     classes = written(full.groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep")), "jaccard-classes")
-    reps = classes.select(F.col("rep").alias("_id"), "s1")
-    pivots = full.join(reps, ["_id", "s1"], "left_semi").select(F.col("s1").alias("m"), F.explode("prefix").alias("r"))
-    shared = pivots.groupBy("r").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("r")
-    regions = written(pivots.join(shared, "r").dropDuplicates(["r", "m"]).select("r", "m"), "jaccard-regions")
+    # Of two linked sets, the smaller holds their first common shingle still earlier: a
+    # region needs a member that does.
+    n = F.col("n")
+    early = n - F.ceil(n * (2 * keep.numerator) / (keep.numerator + keep.denominator)) + 1
+    pivots = full.select(F.col("s1").alias("m"), "n", early.alias("early"), F.posexplode("prefix").alias("at", "r"))
+    pivots = pivots.select("r", "m", F.col("n").cast("int").alias("n"), (F.col("at") < F.col("early")).alias("early"))
+    shared = pivots.groupBy("r").agg(F.count(F.lit(1)).alias("c"), F.max("early").alias("e")).filter("c > 1 and e").select("r")
+    regions = pivots.join(shared, "r").dropDuplicates(["r", "m"])
+    # Sizes of linked sets differ by the factor `keep` at most: they lie in one or in neighbouring rings.
+    ring = F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / keep) * 1.01)).cast("long")
+    regions = written(_ringed(regions, ring), "jaccard-regions")
 
     wanted = written(regions.select("m").distinct(), "jaccard-wanted")
+    reps = classes.select(F.col("rep").alias("_id"), "s1")
     chosen_ids = reps.join(wanted, F.col("s1") == F.col("m"), "left_semi").select("_id").distinct()
     texts = keyed.join(chosen_ids, "_id", "left_semi")
-    sets = _sets(texts, k).join(wanted, "m", "left_semi").dropDuplicates(["m"])
-    sets = written(sets, "jaccard-sets")
+    sets = written(_sets(texts, k).join(wanted, "m", "left_semi"), "jaccard-sets")
+    tally = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("m").alias("d")).first()
+    if tally["n"] > tally["d"]:  # rows that repeat a key
+        sets = written(sets.dropDuplicates(["m"]), "jaccard-sets")
 
     links = None
     label = wanted.withColumn("comp", F.col("m"))
@@ -254,10 +289,7 @@ def components(
         num = (F.col("total") - F.col("inter")) * keep.denominator
         den = F.col("total") * (keep.denominator - keep.numerator)
         ring = ((num - num % den) / den).cast("long")
-        places = F.array(*[F.struct((ring + i).alias("g"), F.lit(1 - i).alias("home")) for i in (0, 1)])
-        ringed = rest.select("r", "m", F.explode(places).alias("z")).select(F.xxhash64("r", "z.g").alias("r"), "m", "z.home")
-        alive = ringed.groupBy("r").agg(F.sum("home").alias("h"), F.count(F.lit(1)).alias("c")).filter("h > 0 and c > 1").select("r")
-        regions = written(ringed.join(alive, "r").select("r", "m"), "jaccard-regions")
+        regions = written(_ringed(rest, ring), "jaccard-regions")
         level += 1
 
     named = classes.join(label.select(F.col("m").alias("s1"), "comp"), "s1", "left")
