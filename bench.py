@@ -2,8 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is evaluated in full through Spark's ``noop`` sink (no collect).
-The readings table is derived once from the test tables first and timed on
-its own (``readings_table``); every query then scans it.
+Every query reads the test tables; the first one also pays for the warm-up.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from smogmesh.plans.catalog import queries  # noqa: E402
 from smogmesh.session import local_session  # noqa: E402
-from smogmesh.sources.readings import readings_table  # noqa: E402
 
 HEADLINE = (
     "clean_readings",
@@ -53,10 +51,6 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     times: dict[str, float] = {}
-    t0 = time.perf_counter()
-    readings_table(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times["readings_table"] = round(time.perf_counter() - t0, 3)
-
     registry = queries()
     failed: dict[str, str] = {}
     for name in HEADLINE:

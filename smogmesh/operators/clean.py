@@ -63,10 +63,18 @@ def quality_profile(df: DataFrame) -> DataFrame:
 
 
 def network_inventory(df: DataFrame, *, totals: bool = True) -> DataFrame:
-    """Lines and stations per city; with ``totals`` a last row (city null) for the whole network."""
-    grouped = df.rollup("city") if totals else df.groupBy("city")
-    return grouped.agg(
+    """Lines and stations per city; with ``totals`` one more row (``is_total``) for the whole network.
+
+    Readings are first counted per (city, line, station); only that small
+    table is rolled up.
+    """
+    small = df.groupBy("city", "line", "station_id").agg(F.count(F.lit(1)).alias("_n"))
+    figures = (
         F.countDistinct("line").alias("n_lines"),
         F.countDistinct("station_id").alias("n_stations"),
-        F.count(F.lit(1)).alias("n_readings"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_readings"),
     )
+    if not totals:
+        return small.groupBy("city").agg(*figures)
+    mark = (F.grouping("city") == 1).alias("is_total")
+    return small.rollup("city").agg(*figures, mark)

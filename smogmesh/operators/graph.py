@@ -56,23 +56,26 @@ def vertices(df: DataFrame, *, nulls: str = "zero") -> DataFrame:
     )
 
 
-def edges(df: DataFrame) -> DataFrame:
-    """Links between consecutive stations (sorted by id) of each (line, city).
-
-    The window only sees the distinct (line, city, station) rows, one per
-    station of a line, never the readings; a one-station line gives no edge.
+def edges(df: DataFrame, *, width: int = 10_000) -> DataFrame:
+    """Links between consecutive stations (sorted by id) of each (line, city); one station gives none.
+
+    Station ids fall into buckets of ``width``; a station's follower is the
+    next one in its bucket, and the last of a bucket is followed by the first of the
+    line's next bucket, found in the table of bucket minima.  A line with any
+    number of stations is thus ordered in parallel, with the same result for
+    any width.
     """
     stations = df.select("line", "station_id", "city").distinct()
-    w = Window.partitionBy("line", "city").orderBy("station_id")
-    return (
-        stations.withColumn("_next", F.lead("station_id").over(w))
-        .filter(F.col("_next").isNotNull())
-        .select(
-            F.col("station_id").cast("long").alias("src"),
-            F.col("_next").cast("long").alias("dst"),
-            "line",
-            "city",
-        )
+    dealt = stations.withColumn("_b", F.floor(F.col("station_id") / width))
+    w = Window.partitionBy("line", "city", "_b").orderBy("station_id")
+    inside = dealt.withColumn("_next", F.lead("station_id").over(w))
+    firsts = dealt.groupBy("line", "city", "_b").agg(F.min("station_id").alias("_first"))
+    over = Window.partitionBy("line", "city").orderBy("_b")
+    follow = firsts.select("line", "city", "_b", F.lead("_first").over(over).alias("_after"))
+    ends = inside.join(follow, ["line", "city", "_b"])
+    nxt = F.coalesce("_next", "_after")
+    return ends.filter(nxt.isNotNull()).select(
+        F.col("station_id").cast("long").alias("src"), nxt.cast("long").alias("dst"), "line", "city"
     )
 
 
@@ -184,82 +187,36 @@ def top_propagation(v: DataFrame, e: DataFrame, *, k: int = 10, **kw) -> DataFra
 # -- connected components -----------------------------------------------------------
 
 
-def _normalise(pairs: DataFrame) -> DataFrame:
-    """Undirected pairs as ``(hi, lo)``, no self loops, no repeats."""
-    return (
-        pairs.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-        .filter(F.col("src") != F.col("dst"))
-        .distinct()
-    )
-
-
-def _large_star(pairs: DataFrame) -> DataFrame:
-    # Every u links each larger neighbour to min(u, neighbours of u).
-    sym = both_directions(pairs)
-    low = sym.groupBy("src").agg(F.min("dst").alias("_low"))
-    return (
-        sym.join(low, "src")
-        .filter(F.col("dst") > F.col("src"))
-        .select(F.col("dst").alias("src"), F.least("src", "_low").alias("dst"))
-    )
-
-
-def _small_star(pairs: DataFrame) -> DataFrame:
-    # Every u links itself and each smaller neighbour to its smallest neighbour.
-    low = pairs.groupBy("src").agg(F.min("dst").alias("_low"))
-    moved = pairs.join(low, "src").select(F.col("dst").alias("src"), F.col("_low").alias("dst"))
-    centre = low.select("src", F.col("_low").alias("dst"))
-    return moved.unionByName(centre)
-
-
-def _fingerprint(pairs: DataFrame) -> tuple[int, int]:
-    row = pairs.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")), F.lit(0)).alias("h")
-    ).first()
-    return int(row["n"]), int(row["h"])
-
-
-def _is_star_forest(pairs: DataFrame) -> bool:
-    """Exact convergence test: every src has one dst and no dst is itself a src.
-
-    With ``src > dst`` on every pair this means each component is a star
-    around its smallest id, which is the fixed point of the two steps.
-    """
-    fan_out = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    centres = pairs.select(F.col("dst").alias("src")).join(pairs.select("src"), "src", "left_semi")
-    return fan_out.isEmpty() and centres.isEmpty()
-
-
-def components(v: DataFrame, e: DataFrame, *, max_rounds: int = 200) -> DataFrame:
+def components(v: DataFrame, e: DataFrame) -> DataFrame:
     """Connected components: ``(id, component)``, component = smallest id in it.
 
-    Alternating large-star / small-star rounds (Kiveris et al., SoCC 2014) on
-    the edge list until the edge set stops changing; the result is one star
-    per component around its smallest vertex.  Rounds grow with the log of
-    the component diameter, not with the diameter itself.  Each round is a
-    reliable checkpoint; the convergence test moves two numbers to the driver
-    and is confirmed by an exact star-forest check.
+    Rounds of contraction: every vertex points to the smallest of itself and
+    its neighbours, pointers are followed to their roots by doubling, and the
+    edges between roots are the next round's graph, with at most half as many
+    connected vertices.  The neighbour minimum is a partial aggregate, so a hub
+    costs a row per task; both sides of every join come from checkpoints, so
+    their exchanges are plain and a hub's rows can be split at run time.
     """
-    pairs = cut_lineage(_normalise(e.select("src", "dst")))
-    seen = _fingerprint(pairs)
-    for _ in range(max_rounds):
-        # Large-star output already has src > dst and no self loops; repeats are
-        # harmless to small-star (min / join), so only its output is normalised.
-        nxt = cut_lineage(_normalise(_small_star(_large_star(pairs))))
-        now = _fingerprint(nxt)
-        pairs = nxt
-        # The fingerprint is cheap but only probabilistic; confirm exactly.
-        if now == seen and _is_star_forest(pairs):
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components did not converge in {max_rounds} rounds")
-    label = pairs.groupBy("src").agg(F.min("dst").alias("_c"))
-    return (
-        v.select("id")
-        .join(label, v.id == label.src, "left")
-        .select("id", F.coalesce(F.col("_c"), F.col("id")).alias("component"))
-    )
+    pairs = e.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    pairs = cut_lineage(pairs.filter("a <> b").distinct())
+    labels = v.select("id", F.col("id").alias("component"))
+    while not pairs.isEmpty():
+        ends = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
+        low = ends.groupBy(F.col("p.a").alias("x")).agg(F.min("p.b").alias("m"))
+        point = cut_lineage(low.select("x", F.least("x", "m").alias("to")))
+        while True:
+            hop = point.select(F.col("x").alias("to"), F.col("to").alias("far"))
+            point = cut_lineage(point.join(hop, "to").select("x", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")))
+            if point.filter("moved").isEmpty():
+                break
+            point = point.select("x", "to")
+        root = point.select("x", "to")
+        labels = labels.join(root.toDF("component", "_root"), "component", "left").select(
+            "id", F.coalesce("_root", "component").alias("component")
+        )
+        joined = pairs.join(root.toDF("a", "_ra"), "a").join(root.toDF("b", "_rb"), "b").filter("_ra <> _rb")
+        pairs = cut_lineage(joined.select(F.least("_ra", "_rb").alias("a"), F.greatest("_ra", "_rb").alias("b")).distinct())
+    return labels
 
 
 def component_sizes(cc: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def split_sizes(df: DataFrame, *, train_share: float = 0.8, seed: int = 42) -> D
     )
 
 
-def feature_stages(max_categories: int | None = None):
+def feature_stages():
     line = StringIndexer(inputCol="line", outputCol="line_indexed", handleInvalid="keep")
     city = StringIndexer(inputCol="city", outputCol="city_indexed", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")
@@ -71,17 +71,21 @@ class Fitted:
 
 
 def fit_models(
-    df: DataFrame, *, seed: int = 42, max_bins: int = 32, names: tuple[str, ...] = MODEL_NAMES
+    df: DataFrame, *, seed: int = 42, max_bins: int | None = None, names: tuple[str, ...] = MODEL_NAMES
 ) -> Fitted:
     """Fit the feature stages once, then the regressors (all three by default) on the same train set."""
-    train, test = split(prepare(df), seed=seed)
+    rows = prepare(df).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = split(rows, seed=seed)
     features = Pipeline(stages=feature_stages()).fit(train)
+    if max_bins is None:  # every category of the indexed columns needs a bin, and so do unseen ones
+        max_bins = max(32, 1 + max(len(s.labels) for s in features.stages if hasattr(s, "labels")))
     train_x = features.transform(train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     test_x = features.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
     models = {
         name: est.fit(train_x) for name, est in regressors(max_bins=max_bins, seed=seed).items() if name in names
     }
     train_x.unpersist()
+    rows.unpersist()
     return Fitted(features, models, test_x)
 
 

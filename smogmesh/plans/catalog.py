@@ -26,7 +26,7 @@ from smogmesh.operators import regress as rg
 from smogmesh.operators import stations as st
 from smogmesh.schema import READING_COLUMNS, SENSOR_COLUMNS
 from smogmesh.session import scratch_path
-from smogmesh.sources.readings import load_readings, readings_table, write_readings_csv
+from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
 from smogmesh.streaming import feeds as sa
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,11 +45,11 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def _raw(spark: SparkSession, d: str) -> DataFrame:
-    return readings_table(spark, d)
+    return readings_view(spark, d)
 
 
 def _clean(spark: SparkSession, d: str) -> DataFrame:
-    return cl.clean(readings_table(spark, d))
+    return cl.clean(readings_view(spark, d))
 
 
 def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -81,11 +81,19 @@ def _network_export(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _network_export_edges(spark: SparkSession, d: str) -> DataFrame:
+    v, e = _graph(spark, d)
+    path = scratch_path(spark, "network")
+    gr.export_network(v, e, path)
+    schema = "source long, target long, line string, city string"
+    return spark.read.schema(schema).json(f"{path}/edges").select("source", "target", "line", "city")
+
+
 def _stream_feed(feed: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         base = scratch_path(spark, "sensor-stream")
-        sa.write_sensor_files(_raw(spark, d), f"{base}/input", files=8)
-        stream = sa.read_sensors(spark, f"{base}/input", glob="part-*.csv", max_files=3)
+        sa.write_sensor_files(_raw(spark, d), f"{base}/input")
+        stream = sa.read_sensors(spark, f"{base}/input", glob="part-*.csv")
         q = sa.run_alerts(
             stream, f"{base}/out", checkpoint=f"{base}/checkpoint", trigger={"availableNow": True}
         )
@@ -130,6 +138,18 @@ def _fixed_top(spark, d):
     return rows.orderBy(*order).limit(10)
 
 
+def _zscore_top(spark, d):
+    rows = an.zscore(_raw(spark, d)).select(*_Z_COLS)
+    order = [F.col("z_pm25").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in _Z_COLS if not c.startswith("z_")]
+    return rows.orderBy(*order).limit(10)
+
+
+def _iqr_top(spark, d):
+    rows = an.iqr(_raw(spark, d)).select(*_IQR_COLS)
+    order = [F.col("pm25").desc()] + [F.col(c).asc_nulls_first() for c in _IQR_COLS if c != "pm25"]
+    return rows.orderBy(*order).limit(10)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # cleaning and quality
@@ -162,6 +182,8 @@ def queries() -> dict[str, Query]:
         "anomalies_fixed_by_type": lambda s, d: an.count_by(an.fixed_limits(_raw(s, d)), "anomalie_type"),
         "global_stats": lambda s, d: an.global_stats(_raw(s, d)),
         "anomalies_zscore": lambda s, d: an.zscore(_raw(s, d)).select(*_Z_COLS),
+        "anomalies_zscore_top": _zscore_top,
+        "anomalies_iqr_top": _iqr_top,
         "quartile_fences": lambda s, d: an.quartile_fences(_raw(s, d)),
         "anomalies_iqr": lambda s, d: an.iqr(_raw(s, d)).select(*_IQR_COLS),
         "anomalies_context": lambda s, d: an.context_anomalies(_raw(s, d)).select(*_CTX_COLS),
@@ -183,6 +205,7 @@ def queries() -> dict[str, Query]:
         "city_nodes": lambda s, d: gr.city_nodes(_graph(s, d)[0]),
         "city_edges": lambda s, d: gr.city_edges(*_graph(s, d)),
         "network_export": _network_export,
+        "network_export_edges": _network_export_edges,
         "city_summary": lambda s, d: gr.city_summary(*_graph(s, d)),
         "upper_quartile_stations": lambda s, d: gr.upper_quartile_stations(_graph(s, d)[0]),
         # exploration
@@ -434,7 +457,7 @@ FROM (SELECT {", ".join(READING_COLUMNS)}, count(*) AS n FROM readings GROUP BY
         ),
         "network_inventory": _with(
             """SELECT city, count(DISTINCT line) AS n_lines, count(DISTINCT station_id) AS n_stations,
-  count(*) AS n_readings FROM readings GROUP BY ROLLUP (city)"""
+  count(*) AS n_readings, grouping(city) = 1 AS is_total FROM readings GROUP BY ROLLUP (city)"""
         ),
         "readings_csv": _with("SELECT * REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, round(wind_speed, 6) AS wind_speed) FROM readings"),
         "who_index": _with(f"SELECT station_id, timestamp, {r('pollution_index')} AS pollution_index FROM raw_i"),
@@ -529,6 +552,18 @@ WHERE anomalie_type <> 'NORMAL' GROUP BY anomalie_type"""
   co2, {r('z_co2')} AS z_co2, no2, {r('z_no2')} AS z_no2 FROM zanom""",
             _ZROWS,
         ),
+        "anomalies_zscore_top": _with(
+            f"""SELECT station_name, hour, anomalie_zscore, pm25, {r('z_pm25')} AS z_pm25, pm10, {r('z_pm10')} AS z_pm10,
+  co2, {r('z_co2')} AS z_co2, no2, {r('z_no2')} AS z_no2 FROM zanom
+ORDER BY zanom.z_pm25 DESC NULLS LAST, {", ".join(f"{c} ASC NULLS FIRST" for c in _Z_COLS if not c.startswith("z_"))} LIMIT 10""",
+            _ZROWS,
+        ),
+        "anomalies_iqr_top": _with(
+            f"""SELECT {", ".join(_IQR_COLS)} FROM readings, fences
+WHERE pm25 < fences.lower OR pm25 > fences.upper
+ORDER BY pm25 DESC, {", ".join(f"{c} ASC NULLS FIRST" for c in _IQR_COLS if c != "pm25")} LIMIT 10""",
+            _FENCES,
+        ),
         "quartile_fences": _with("SELECT q1, q3, iqr, lower, upper FROM fences", _FENCES),
         "anomalies_iqr": _with(
             f"""SELECT {", ".join(_IQR_COLS)} FROM readings, fences
@@ -662,4 +697,5 @@ FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity = 'DANGER'"""
     }
     # The export is read back from its JSON files: same records as the node view.
     rows["network_export"] = rows["city_nodes"]
+    rows["network_export_edges"] = rows["city_edges"]
     return rows

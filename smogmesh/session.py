@@ -25,7 +25,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="smogmesh-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,8 +2,10 @@
 
 One streaming plan, one ``foreachBatch`` sink: each micro-batch is persisted
 once and written to three feeds (abnormal readings, danger alerts, rejected
-rows).  Writes go to ``batch_id=<n>`` folders in overwrite mode, so a batch
-replayed after a failure replaces its own output instead of duplicating it.
+rows).  Rows that do not fit the schema are reported as rejected *and* judged
+by what could be read of them.  Writes go to ``run=<query id>/batch_id=<n>``
+folders in overwrite mode, so a batch replayed after a failure replaces its own
+output instead of duplicating it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,12 @@ def sensor_schema(with_corrupt: bool = True) -> T.StructType:
 
 
 def read_sensors(spark: SparkSession, path: str, *, glob: str = "sensor_*.csv", max_files: int | None = None) -> DataFrame:
-    """Stream headerless sensor CSV files; unreadable lines land in ``_corrupt_record``."""
+    """Stream headerless sensor CSV files; lines that do not fit keep their text in ``_corrupt_record``.
+
+    Such a line still gives the fields that could be read.  Every sink reports
+    ``rows`` and ``odd_rows`` per batch under ``sensor_rows`` in the query's
+    observed metrics.
+    """
     reader = (
         spark.readStream.schema(sensor_schema())
         .option("header", False)
@@ -38,7 +45,9 @@ def read_sensors(spark: SparkSession, path: str, *, glob: str = "sensor_*.csv",
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    odd = F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("odd_rows")
+    return rows.observe("sensor_rows", F.count(F.lit(1)).alias("rows"), odd)
 
 
 def with_severity(df: DataFrame, *, unknown_label: str | None = None) -> DataFrame:
@@ -57,30 +66,34 @@ def _rejected(df: DataFrame) -> F.Column:
 
 def abnormal(df: DataFrame) -> DataFrame:
     """Readings whose severity is not normal (works on batch and streaming frames)."""
-    return with_severity(df.filter(~_rejected(df))).filter(F.col("severity") != NORMAL).select(
+    return with_severity(df).filter(F.col("severity") != NORMAL).select(
         *SENSOR_COLUMNS, "pollution_index", "severity"
     )
 
 
 def alerts(df: DataFrame) -> DataFrame:
     """Readings in the danger band."""
-    return with_severity(df.filter(~_rejected(df))).filter(F.col("severity") == DANGER).select(
+    return with_severity(df).filter(F.col("severity") == DANGER).select(
         *SENSOR_COLUMNS, "pollution_index", "severity"
     )
 
 
 def _batch_writer(out: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        # A query keeps its id as long as its checkpoint: a new checkpoint never
+        # writes over an older run's folders.
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        place = f"run={run}/batch_id={batch_id}"
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            abnormal(batch).write.mode("overwrite").parquet(f"{out}/abnormal/batch_id={batch_id}")
+            abnormal(batch).write.mode("overwrite").parquet(f"{out}/abnormal/{place}")
             danger = alerts(batch)
             if not danger.isEmpty():
-                danger.write.mode("overwrite").parquet(f"{out}/alerts/batch_id={batch_id}")
+                danger.write.mode("overwrite").parquet(f"{out}/alerts/{place}")
             if CORRUPT_COLUMN in batch.columns:
                 bad = batch.filter(_rejected(batch))
                 if not bad.isEmpty():
-                    bad.write.mode("overwrite").parquet(f"{out}/rejected/batch_id={batch_id}")
+                    bad.write.mode("overwrite").parquet(f"{out}/rejected/{place}")
         finally:
             batch.unpersist()
 
@@ -145,24 +158,24 @@ def run_separate(
 
 
 def read_feed(spark: SparkSession, out: str, feed: str) -> DataFrame:
-    """Read one output feed back as a batch DataFrame (``batch_id`` dropped)."""
+    """Read one output feed back as a batch DataFrame (run and batch dropped)."""
     schema = T.StructType(
         list(SENSOR.fields)
         + [T.StructField("pollution_index", T.DoubleType()), T.StructField("severity", T.StringType())]
     )
     try:
-        return spark.read.schema(schema).parquet(f"{out}/{feed}")
+        return spark.read.schema(schema).parquet(f"{out}/{feed}").select(*schema.names)
     except Exception as exc:  # no batch wrote this feed
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], schema)
         raise
 
 
-def write_sensor_files(readings: DataFrame, folder: str, *, files: int = 8) -> None:
-    """Write the sensor columns of a readings table as headerless CSV drops."""
+def write_sensor_files(readings: DataFrame, folder: str, *, files: int | None = None) -> None:
+    """Write the sensor columns of a readings table as headerless CSV drops, one per task by default."""
+    rows = readings.select(*SENSOR_COLUMNS)
     (
-        readings.select(*SENSOR_COLUMNS)
-        .repartition(files)
+        (rows.repartition(files) if files else rows)
         .write.mode("overwrite")
         .option("header", False)
         .csv(folder)

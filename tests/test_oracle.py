@@ -7,11 +7,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from smogmesh.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = ("region", "events")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 
 def _norm(v):

@@ -2,25 +2,35 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from smogmesh.operators import profiles
+from smogmesh.plans import catalog
+from smogmesh.sources.readings import readings_view
 
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 MODELS = {"model_metrics", "best_model", "feature_importance", "predictions", "model_split_sizes"}
 
 
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """A stored readings table, as a user would have it."""
+    path = str(tmp_path_factory.mktemp("readings") / "readings")
+    readings_view(spark, SF_SMALL).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _plan(df) -> str:
     # The "formatted" explain text lists every scan's pushed filters in full.
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-def test_filter_reaches_parquet_scan(spark):
-    plan = _plan(QUERIES["high_readings"](spark, SF_SMALL))
+def test_filter_reaches_parquet_scan(stored):
+    plan = _plan(profiles.high_readings(stored))
     assert "PushedFilters: [" in plan and "GreaterThan(pm25,70)" in plan
 
 
-def test_profile_reads_only_needed_columns(spark):
-    plan = _plan(QUERIES["hourly_profile"](spark, SF_SMALL))
+def test_profile_reads_only_needed_columns(stored):
+    plan = _plan(profiles.hourly_profile(stored))
     assert "ReadSchema: struct<hour:int,pm25:int,pm10:int,co2:int,no2:int,o3:int,noise:int>" in plan
 
 

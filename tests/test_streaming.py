@@ -34,7 +34,9 @@ def test_stream_equals_batch_and_rejects_malformed_rows(spark):
     assert _rows(read_feed(spark, f"{base}/out", "alerts").drop("batch_id")) == _rows(alerts(batch))
     rejected = spark.read.parquet(f"{base}/out/rejected").count()
     assert rejected == 2
-    assert len([d for d in os.listdir(f"{base}/out/abnormal") if d.startswith("batch_id=")]) >= 2
+    runs = [d for d in os.listdir(f"{base}/out/abnormal") if d.startswith("run=")]
+    assert runs == [f"run={q.id}"]
+    assert len([d for d in os.listdir(f"{base}/out/abnormal/{runs[0]}") if d.startswith("batch_id=")]) >= 2
 
 
 def test_append_feed_to_parquet(spark):
@@ -65,3 +67,32 @@ def test_two_separate_queries(spark):
     batch = raw.select("station_id", "pm25", "pm10", "co2", "no2", "o3", "timestamp")
     assert _rows(spark.read.parquet(f"{base}/out/abnormal")) == _rows(abnormal(batch))
     assert _rows(spark.read.parquet(f"{base}/out/alerts")) == _rows(alerts(batch))
+
+
+def test_odd_rows_reach_the_feeds_and_are_reported(spark):
+    base = tempfile.mkdtemp(prefix="smogmesh-stream-test-")
+    os.makedirs(f"{base}/in")
+    with open(f"{base}/in/sensor_1.csv", "w") as fh:
+        fh.write("7,500,500,4000,500,500\n")  # no timestamp
+        fh.write("8,500,500,4000,500,500,1700000000000,9\n")  # one field too many
+        fh.write("9,500,500,4000,500,500,1700000000000\n")
+    q = run_alerts(
+        read_sensors(spark, f"{base}/in"), f"{base}/out", checkpoint=f"{base}/ckpt", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    for feed in ("abnormal", "alerts"):
+        assert sorted(r["station_id"] for r in read_feed(spark, f"{base}/out", feed).collect()) == [7, 8, 9]
+    assert spark.read.parquet(f"{base}/out/rejected").count() == 2
+
+
+def test_new_checkpoint_keeps_older_output(spark):
+    base = tempfile.mkdtemp(prefix="smogmesh-stream-test-")
+    os.makedirs(f"{base}/in")
+    with open(f"{base}/in/sensor_1.csv", "w") as fh:
+        fh.write("9,500,500,4000,500,500,1700000000000\n")
+    for ckpt in ("a", "b"):
+        q = run_alerts(
+            read_sensors(spark, f"{base}/in"), f"{base}/out", checkpoint=f"{base}/{ckpt}", trigger={"availableNow": True}
+        )
+        q.awaitTermination()
+    assert len(os.listdir(f"{base}/out/alerts")) == 2
