@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import byte_codes, mix64, prefix_sums, signed, span_hash, text_batches, written
+from smogmesh.llm.common import byte_codes, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches, written
 from smogmesh.llm.links import smallest_reachable
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -76,6 +76,12 @@ def shingle_hashes(rows: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[new], s[new]
 
 
+#: Pivots beyond the first ones needed: one for so many shingles.
+_EXTRA = 20
+#: Class numbers leave the two lowest bits free, for flags of a pivot.
+_CLASS = -4
+
+
 def _texts(batch: pa.RecordBatch, lo: int, hi: int) -> list[bytes]:
     col = batch.column("_text").slice(lo, hi - lo).cast(pa.binary())
     return [v or b"" for v in col.to_pylist()]
@@ -135,9 +141,9 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
                     hit = sorted_late[at] == g
                     rank[hit] = by_hash[at[hit]]
                 order = np.lexsort((g, rank, r))
-                # ceil(keep * n) shared shingles at least: the first n - that + 1 must hold one.
-                length = np.where(n > 0, n - -(-(keep.numerator * n) // keep.denominator) + 1, 0)
-                first, second = signed(s1[ends] - s1[ends - n]), signed(s2[ends] - s2[ends - n])
+                # ceil(keep * n) shared shingles at least: the first n - that + x must hold x of them.
+                length = np.where(n > 0, n - -(-(keep.numerator * n) // keep.denominator) + 1 + n // _EXTRA, 0)
+                first, second = signed(s1[ends] - s1[ends - n]) & _CLASS, signed(s2[ends] - s2[ends - n])
                 if len(seen) > 1_000_000:
                     seen.clear()
                 for i, same in enumerate(zip(first.tolist(), second.tolist())):
@@ -171,7 +177,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 s1 = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix64(h + np.uint64(1)), dtype=np.uint64)])
                 items = [h[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(s1[cuts[1:]] - s1[cuts[:-1]])), pa.array(items, pa.binary())], names=["m", "items"]
+                    [pa.array(signed(s1[cuts[1:]] - s1[cuts[:-1]]) & _CLASS), pa.array(items, pa.binary())], names=["m", "items"]
                 )
 
     return docs.select("_text").mapInArrow(run, "m long, items binary")
@@ -199,6 +205,49 @@ def _measured(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "p long, m long, inter long, total long")
 
 
+def _shared(pivots: DataFrame) -> DataFrame:
+    """``r, m, open``: the distinct pivots ``r`` that at least two classes list.
+
+    ``m`` comes with two flags: listed among the pivots that count, and early.
+    ``open`` rows are the former, where some member of the region is early.
+    Copies list no pivots (see ``_profiles``) and a document lists each pivot
+    once, so no pivot has more than a small share of all rows.
+    """
+    n = shuffle_partitions(pivots.sparkSession)
+    dealt = pivots.repartition(n, "r").sortWithinPartitions("r", "m")
+    schema = pa.schema([("r", pa.int64()), ("m", pa.int64()), ("open", pa.bool_())])
+
+    def done(r: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        cls = m & _CLASS
+        new = np.ones(len(r), dtype=bool)
+        new[1:] = r[1:] != r[:-1]
+        other = new.copy()
+        other[1:] |= cls[1:] != cls[:-1]
+        group = np.cumsum(new) - 1
+        members = np.bincount(group, weights=other)
+        early = np.bincount(group, weights=(m & 1) > 0) > 0
+        keep = other & (members[group] > 1)
+        opened = ((m & 2) > 0) & early[group]
+        return pa.RecordBatch.from_arrays([pa.array(r[keep]), pa.array(cls[keep]), pa.array(opened[keep])], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        rest = None  # rows of the last pivot, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            r, m = batch.column("r").to_numpy(), batch.column("m").to_numpy()
+            if rest is not None:
+                r, m = np.concatenate([rest[0], r]), np.concatenate([rest[1], m])
+            cut = int(np.searchsorted(r, r[-1], side="left"))
+            rest = r[cut:], m[cut:]
+            if cut:
+                yield done(r[:cut], m[:cut])
+        if rest is not None:
+            yield done(*rest)
+
+    return dealt.mapInArrow(run, "r long, m long, open boolean")
+
+
 def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
     """Regions ``r, m`` split into rings: each member in its own ring and, as a guest, in the next.
 
@@ -235,12 +284,17 @@ def components(
     classes = written(full.groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep")), "jaccard-classes")
     # Of two linked sets, the smaller holds their first common shingle still earlier: a
     # region needs a member that does.
-    n = F.col("n")
-    early = n - F.ceil(n * (2 * keep.numerator) / (keep.numerator + keep.denominator)) + 1
-    pivots = full.select(F.col("s1").alias("m"), "n", early.alias("early"), F.posexplode("prefix").alias("at", "r"))
-    pivots = pivots.select("r", "m", F.col("n").cast("int").alias("n"), (F.col("at") < F.col("early")).alias("early"))
-    shared = pivots.groupBy("r").agg(F.count(F.lit(1)).alias("c"), F.max("early").alias("e")).filter("c > 1 and e").select("r")
-    regions = pivots.join(shared, "r").dropDuplicates(["r", "m"])
+    at, n = F.col("at"), F.col("n")
+    early = at <= n - F.ceil(n * (2 * keep.numerator) / (keep.numerator + keep.denominator))
+    core = at <= n - F.ceil(n * keep.numerator / keep.denominator)
+    flags = F.when(early, 3).when(core, 2).otherwise(0)
+    pivots = full.select("s1", "n", F.posexplode("prefix").alias("at", "r"))
+    shared = written(_shared(pivots.select("r", F.col("s1").bitwiseOR(flags.cast("long")).alias("m"))), "jaccard-shared")
+    # A set linked to another has at least so many pivots in common with it, whichever the other's size.
+    least = F.floor(F.ceil(n * keep.numerator / keep.denominator) / _EXTRA) + 1
+    tally = shared.groupBy(F.col("m").alias("s1")).agg(F.count(F.lit(1)).alias("c"))
+    able = tally.join(classes.select("s1", "n"), "s1").filter(F.col("c") >= least).select(F.col("s1").alias("m"), "n")
+    regions = shared.filter("open").select("r", "m").join(able, "m")
     # Sizes of linked sets differ by the factor `keep` at most: they lie in one or in neighbouring rings.
     ring = F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / keep) * 1.01)).cast("long")
     regions = written(_ringed(regions, ring), "jaccard-regions")
@@ -249,9 +303,9 @@ def components(
     reps = classes.select(F.col("rep").alias("_id"), "s1")
     chosen_ids = reps.join(wanted, F.col("s1") == F.col("m"), "left_semi").select("_id").distinct()
     texts = keyed.join(chosen_ids, "_id", "left_semi")
-    sets = written(_sets(texts, k).join(wanted, "m", "left_semi"), "jaccard-sets")
-    tally = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("m").alias("d")).first()
-    if tally["n"] > tally["d"]:  # rows that repeat a key
+    sets = written(_sets(texts, k), "jaccard-sets")
+    rows_of = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("m").alias("d")).first()
+    if rows_of["n"] > rows_of["d"]:  # rows that repeat a key
         sets = written(sets.dropDuplicates(["m"]), "jaccard-sets")
 
     links = None
@@ -290,6 +344,8 @@ def components(
         den = F.col("total") * (keep.denominator - keep.numerator)
         ring = ((num - num % den) / den).cast("long")
         regions = written(_ringed(rest, ring), "jaccard-regions")
+        members = regions.select("m").distinct()
+        sets = written(sets.join(members, "m", "left_semi"), "jaccard-sets")
         level += 1
 
     named = classes.join(label.select(F.col("m").alias("s1"), "comp"), "s1", "left")
