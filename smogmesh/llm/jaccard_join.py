@@ -261,7 +261,7 @@ def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
 
 
 def components(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, slots: int = 256
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, slots: int = 1024
 ) -> DataFrame:
     """``key, n_shingles, class_id, component_id`` of every row of ``docs``.
 
@@ -318,8 +318,8 @@ def components(
         state = written(state.join(open_, "r"), "jaccard-open")
         if state.isEmpty():
             break
-        # Members of unlike components go to unlike slots; a level has eight times the last one's slots.
-        n_slots = min(slots, 8**level)
+        # Members of unlike components go to unlike slots; a level has sixteen times the last one's slots.
+        n_slots = min(slots, 16**level)
         slot = F.pmod(F.xxhash64(F.lit(level), "comp"), F.lit(n_slots))
         order = F.struct(F.xxhash64(F.lit(level), "m").alias("o"), F.col("m").alias("p"), F.col("comp").alias("pc"))
         chosen = state.groupBy("r", slot.alias("slot")).agg(F.min(order).alias("x"))
