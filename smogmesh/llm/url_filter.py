@@ -13,6 +13,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Labelled rows a partition holds in training: every tree level is a job over all of them.
+TRAIN_ROWS = 5_000
+
 FEATURES = (
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "host_digit_ratio",
     "hyphens", "host_entropy", "url_entropy", "n_params", "has_fragment", "secure", "suffix_share", "suffix_block",
@@ -136,7 +139,8 @@ def filter_urls(
 
     sample = known.orderBy(F.xxhash64("_url"), "_url").limit(max_labelled)
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_stats(sample))
-    train = train.select("features", "label").persist()
+    # At most max_labelled rows, whatever the input: a few partitions are enough.
+    train = train.select("features", "label").repartition(max(1, max_labelled // TRAIN_ROWS)).persist()
     kinds = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
     rule = F.col("_m.rule").alias("rule")
     if kinds["lo"] is None or kinds["lo"] == kinds["hi"]:
