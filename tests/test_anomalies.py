@@ -1,6 +1,6 @@
 """Statistical detectors on tiny tables: constant columns, one row, empty input, quantiles."""
 
-from conftest import readings
+from fixture_rows import readings
 from smogmesh.operators import anomalies as an
 from smogmesh.operators import explore as ex
 from smogmesh.operators import stations as st

@@ -1,6 +1,6 @@
 """Counts measured on the readings view at sf0.001 (FIXTURES.md §2), as an independent check."""
 
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 from smogmesh.operators import anomalies as an
 from smogmesh.operators import clean as cl
 from smogmesh.operators import graph as gr

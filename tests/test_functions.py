@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import readings
+from fixture_rows import readings
 from smogmesh.functions import period_label, severity, split_keep_leading, weekday_name, who_index
 from smogmesh.operators import anomalies as an
 from smogmesh.operators import profiles as pr

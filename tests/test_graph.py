@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import readings
+from fixture_rows import readings
 from smogmesh.operators import graph as gr
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 from smogmesh.operators import clean as cl
 from smogmesh.operators import graph as gr
 from smogmesh.operators import profiles as pr

@@ -1,6 +1,6 @@
 """Model fitting: three models, metrics in range, split independent of partitioning."""
 
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 from smogmesh.operators import clean as cl
 from smogmesh.operators import regress as rg
 from smogmesh.sources.readings import readings_view

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from smogmesh.plans import catalog
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 
 TABLES = ("region", "events")
 QUERIES = catalog.queries()

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 from smogmesh.operators import profiles
 from smogmesh.plans import catalog
 from smogmesh.sources.readings import readings_view

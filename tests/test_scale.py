@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from smogmesh.operators import clean, graph, regress
 from smogmesh.session import checkpoint_root
 from smogmesh.sources.readings import readings_view
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 
 
 def test_source_change_is_seen(spark, tmp_path):

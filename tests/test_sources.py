@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import readings
+from fixture_rows import readings
 from smogmesh.schema import READINGS
 from smogmesh.sources.readings import load_readings, write_readings_csv
 

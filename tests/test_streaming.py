@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from fixture_rows import SF_SMALL
 from smogmesh.sources.readings import readings_view
 from smogmesh.streaming import abnormal, alerts, read_feed, read_sensors, run_alerts, write_sensor_files
 
