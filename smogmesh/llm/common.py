@@ -108,3 +108,29 @@ def text_batches(batch: pa.RecordBatch, column: str, max_bytes: int):
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+class Generations:
+    """Scratch tables of an iteration: each ``keep`` writes the next one and deletes those but the last two.
+
+    A round reads only the table of the round before it, so an older one is
+    needed by nobody, a task that runs again included.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        checkpoint_root(spark)
+        self.spark, self.name, self.paths = spark, name, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        while len(self.paths) > 2:
+            discard(self.spark, self.paths.pop(0))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder in the store that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

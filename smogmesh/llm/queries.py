@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogmesh.llm import fingerprints, jaccard_join, language_id, mixing, packing, repeats, token_counts, topk, url_filter, warc
+from smogmesh.llm import clustering, fingerprints, jaccard_join, language_id, mixing, packing, repeats, token_counts, topk, url_filter, warc
 from smogmesh.llm.common import checkpoint_root, table
 from smogmesh.session import scratch_path
 
@@ -86,12 +86,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids, _ = clustering.clusters(table(spark, sf_dir, "embeddings"))
+    return clustering.with_inertia(assigned, centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     found = [
         op1_suffix_array_dedup, op2_mix, op3_top_k, op4_language_id, op5_url_filter, op6_token_counts,
-        op7_jaccard_join, op8_packing, op9_warc, op10_fingerprints,
+        op7_jaccard_join, op8_packing, op9_warc, op10_fingerprints, op11_centroid_clusters,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
@@ -137,10 +144,65 @@ FROM p JOIN m ON p.h = m.h
 """
 
 
+def _clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Lloyd's rounds spelled out: every vector against every centroid, exact whole-number means."""
+    parts = [
+        f"""
+sized AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings WHERE len(embedding) = {dims}
+), bad AS (
+  SELECT DISTINCT rid FROM (SELECT rid, unnest(embedding) AS x FROM sized) WHERE x IS NULL OR NOT isfinite(x)
+), e AS MATERIALIZED (
+  SELECT * FROM sized WHERE rid NOT IN (SELECT rid FROM bad)
+), v AS MATERIALIZED (
+  SELECT rid, vec_id, generate_subscripts(embedding, 1) AS i,
+         CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS q FROM e
+), seed AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), rid) - 1 AS j
+  FROM e WHERE vec_id IS NOT NULL
+), c0 AS MATERIALIZED (
+  SELECT CAST(seed.j AS INTEGER) AS j, v.i, v.q FROM seed JOIN v ON v.rid = seed.rid WHERE seed.j < {k}
+)"""
+    ]
+    for t in range(rounds + 1):
+        parts.append(
+            f"""
+, d{t} AS (
+  SELECT v.rid, c.j, CAST(sum((v.q - c.q) * (v.q - c.q)) AS BIGINT) AS d
+  FROM v JOIN c{t} c ON c.i = v.i GROUP BY v.rid, c.j
+), a{t} AS MATERIALIZED (
+  SELECT rid, j, d FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY d, j) AS r FROM d{t}) WHERE r = 1
+)"""
+        )
+        if t < rounds:
+            parts.append(
+                f"""
+, s{t} AS (
+  SELECT a.j, v.i, CAST(sum(v.q) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{t} a ON a.rid = v.rid GROUP BY a.j, v.i
+), c{t + 1} AS MATERIALIZED (
+  SELECT c.j, c.i, CASE WHEN s.n IS NULL THEN c.q ELSE CAST((s.s - (((s.s % s.n) + s.n) % s.n)) // s.n AS BIGINT) END AS q
+  FROM c{t} c LEFT JOIN s{t} s ON s.j = c.j AND s.i = c.i
+)"""
+            )
+    return (
+        "WITH"
+        + "".join(parts)
+        + f"""
+, h AS (
+  SELECT j, sha256(string_agg(CAST(q AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY j
+)
+SELECT e.vec_id, a.j AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN e ON e.rid = a.rid JOIN h ON h.j = a.j
+"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    sql = {"op3_top_k": _TOP_K_SQL, "op9_warc": _WARC_SQL}
+    sql = {"op3_top_k": _TOP_K_SQL, "op9_warc": _WARC_SQL, "op11_centroid_clusters": _clusters_sql()}
     if corpus_pipeline.ORACLE_SQL is not None:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
