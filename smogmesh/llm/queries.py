@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogmesh.llm import clustering, fingerprints, jaccard_join, language_id, mixing, packing, repeats, token_counts, topk, url_filter, warc
-from smogmesh.llm.common import checkpoint_root, table
+from smogmesh.llm import alignment, clustering, fingerprints, jaccard_join, language_id, mixing, packing, quality, repeats, token_counts, topk, url_filter, warc
+from smogmesh.llm.common import checkpoint_root, table, written
 from smogmesh.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,12 +93,29 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    )
+    return alignment.link_scores(written(aligned, "alignment"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
+    found = quality.scores(docs, model)
+    apart = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    return found.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     found = [
         op1_suffix_array_dedup, op2_mix, op3_top_k, op4_language_id, op5_url_filter, op6_token_counts,
-        op7_jaccard_join, op8_packing, op9_warc, op10_fingerprints, op11_centroid_clusters,
+        op7_jaccard_join, op8_packing, op9_warc, op10_fingerprints, op11_centroid_clusters, op12_cross_tokenizer,
+        op13_quality,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
