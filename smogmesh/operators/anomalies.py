@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogmesh.functions.rules import any_rule, context_rules, critical_rules, first_match
+from smogmesh.operators import quantiles as qu
 from smogmesh.schema import FIXED_NORMAL, IQR_FENCE, QUANTILE_ERROR, Z_LIMIT, ZSCORE_LABELS
 
 ZSCORE_COLUMNS = ("pm25", "pm10", "co2", "no2")
@@ -85,27 +86,34 @@ def zscore(
 def quartile_fences(
     df: DataFrame, col: str = "pm25", *, fence: float = IQR_FENCE, exact: bool = True, error: float = QUANTILE_ERROR
 ) -> DataFrame:
-    """One row: q1, q3, iqr and the lower / upper fences of a column (nulls ignored).
+    """One row: q1, q3, iqr and the lower / upper fences of a column (nulls and NaN ignored; all null without values).
 
-    ``exact=True`` uses ``percentile_disc`` (an exact order statistic; its
-    buffer holds one count per distinct value, small for integer readings).
-    ``exact=False`` uses the streaming approximation with relative ``error``.
+    ``exact=True`` selects the order statistics (``percentile_disc``) by narrowing
+    value ranges: memory does not grow with rows or distinct values.
+    ``exact=False`` reads them off a mergeable sketch with a rank error of at most ``error``.
     """
     if exact:
-        q1 = F.expr(f"percentile_disc(0.25) WITHIN GROUP (ORDER BY `{col}`)")
-        q3 = F.expr(f"percentile_disc(0.75) WITHIN GROUP (ORDER BY `{col}`)")
+        found = qu.exact_quantiles(df, col, (0.25, 0.75))
     else:
-        acc = max(1, int(round(1.0 / error)))
-        q1 = F.percentile_approx(col, 0.25, acc)
-        q3 = F.percentile_approx(col, 0.75, acc)
+        found = qu.sketch_quantiles(qu.rank_sketches(df, col, error=error), (0.25, 0.75))
     return (
-        df.agg(q1.cast("double").alias("q1"), q3.cast("double").alias("q3"))
+        found.agg(F.max("q0").alias("q1"), F.max("q1").alias("q3"))
         .withColumn("iqr", F.col("q3") - F.col("q1"))
         .withColumn("lower", F.col("q1") - F.lit(fence) * F.col("iqr"))
         .withColumn("upper", F.col("q3") + F.lit(fence) * F.col("iqr"))
     )
 
 
+def quartile_rank_errors(df: DataFrame, col: str = "pm25", *, error: float = QUANTILE_ERROR) -> DataFrame:
+    """The approximate quartiles of ``exact=False`` with their true rank errors (see ``quantiles.rank_errors``)."""
+    probs = (0.25, 0.5, 0.75)
+    row = qu.sketch_quantiles(qu.rank_sketches(df, col, error=error), probs).first()
+    found = [(p, row[f"q{i}"]) for i, p in enumerate(probs) if row[f"q{i}"] is not None]
+    if not found:
+        return df.sparkSession.createDataFrame([], "prob double, value double, n long, below long, at_most long, rank_error double")
+    return qu.rank_errors(df, col, found)
+
+
 def iqr(df: DataFrame, col: str = "pm25", *, fence: float = IQR_FENCE, exact: bool = True) -> DataFrame:
     """Rows whose value lies outside the IQR fences."""
     s = _scalars(quartile_fences(df, col, fence=fence, exact=exact).select("lower", "upper"))

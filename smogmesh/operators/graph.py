@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from smogmesh.functions.indices import who_index
 from smogmesh.functions.text import lines_text
+from smogmesh.operators.quantiles import exact_quantiles
 from smogmesh.schema import PROPAGATION_FACTOR, PROPAGATION_ROUNDS
 from smogmesh.session import cut_lineage
 
@@ -278,10 +279,16 @@ def city_summary(v: DataFrame, e: DataFrame) -> DataFrame:
 
 
 def upper_quartile_stations(v: DataFrame, *, q: float = 0.75) -> DataFrame:
-    """Stations above their city's upper quartile (linear interpolation) of pollution."""
-    cut = v.groupBy("city").agg(F.percentile("pollution", q).alias("threshold"))
+    """Stations above their city's upper quartile (linear interpolation) of pollution; stations without a city are left out.
+
+    The thresholds are selected by narrowing value ranges for all cities at
+    once: a city with most of the stations is not gathered in one task.  A
+    station without a pollution value, or in a city without any, has no mark (null).
+    """
+    v = cut_lineage(v.select("id", "name", "city", "pollution").filter("city is not null"))
+    cut = exact_quantiles(v, "pollution", (q,), by=("city",), interpolate=True)
     return (
-        v.join(cut, "city")
+        v.join(cut.select("city", F.col("q0").alias("threshold")), "city", "left")
         .select("id", "name", "city", "pollution", "threshold")
         .withColumn("highlighted", F.col("pollution") > F.col("threshold"))
     )

@@ -24,7 +24,8 @@ from smogmesh.operators import graph as gr
 from smogmesh.operators import profiles as pr
 from smogmesh.operators import regress as rg
 from smogmesh.operators import stations as st
-from smogmesh.schema import READING_COLUMNS, SENSOR_COLUMNS
+from smogmesh.plans import model_sql as ms
+from smogmesh.schema import QUANTILE_ERROR, READING_COLUMNS, SENSOR_COLUMNS
 from smogmesh.session import scratch_path
 from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
 from smogmesh.streaming import feeds as sa
@@ -126,6 +127,47 @@ def _predictions(spark, d):
     return rg.predictions(_fitted(spark, d, ("random_forest",)), "random_forest").select("label", "prediction")
 
 
+def _trees_replayed(spark, d):
+    """Per tree model: test rows, and those whose prediction comes out again from the exported leaves alone."""
+    fitted = _fitted(spark, d, ("decision_tree", "random_forest"))
+    out = None
+    for name in ("decision_tree", "random_forest"):
+        leaves = rg.tree_leaves(spark, fitted.models[name]).collect()  # bounded by the models' depth
+        rows = rg.feature_rows(rg.predictions(fitted, name), "prediction")
+        same = F.abs(F.col("prediction") - rg.replay_column(leaves)) < 1e-9
+        counts = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"))
+        part = counts.select(F.lit(name).alias("model"), "n_rows", "n_same")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _category_codes(spark, d):
+    return rg.category_codes(spark, rg.assembled(rg.prepare(_clean(spark, d)))[0])
+
+
+def _feature_rows(spark, d):
+    return rg.feature_rows(rg.assembled(rg.prepare(_clean(spark, d)))[1])
+
+
+def _ridge_coefficients(spark, d):
+    model, _ = rg.ridge(_clean(spark, d))
+    return model.table(spark)
+
+
+def _ridge_predictions(spark, d):
+    model, rows = rg.ridge(_clean(spark, d))
+    return model.predict(rows.filter("not is_train")).select("label", "prediction")
+
+
+def _ridge_metrics(spark, d):
+    return rg.metrics(_ridge_predictions(spark, d))
+
+
+def _ridge_gradient(spark, d):
+    model, _ = rg.ridge(_clean(spark, d))
+    return spark.createDataFrame([(model.n, model.gradient)], "n_train long, gradient double")
+
+
 _FIXED_COLS = ("station_name", "hour", "day_of_week", "anomalie_type", "pm25", "pm10", "no2", "o3", "co2", "temperature")
 _Z_COLS = ("station_name", "hour", "anomalie_zscore", "pm25", "z_pm25", "pm10", "z_pm10", "co2", "z_co2", "no2", "z_no2")
 _IQR_COLS = ("station_name", "hour", "day_of_week", "pm25", "pm10", "co2", "no2")
@@ -150,6 +192,18 @@ def _iqr_top(spark, d):
     return rows.orderBy(*order).limit(10)
 
 
+def _context_top(spark, d):
+    rows = an.context_anomalies(_raw(spark, d)).select(*_CTX_COLS)
+    order = [F.col("pm25").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in _CTX_COLS if c != "pm25"]
+    return rows.orderBy(*order).limit(10)
+
+
+def _quartiles_approximate(spark, d):
+    """Whether each approximate quartile of wind speed keeps the stated rank error, by exact counts."""
+    found = an.quartile_rank_errors(_raw(spark, d), "wind_speed")
+    return found.select("prob", "n", (F.col("rank_error") <= QUANTILE_ERROR).alias("within_error"))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # cleaning and quality
@@ -175,6 +229,7 @@ def queries() -> dict[str, Query]:
         "station_stats": lambda s, d: st.station_stats(_raw(s, d)),
         "station_ranking": lambda s, d: st.station_ranking(_raw(s, d)),
         "station_peaks": lambda s, d: st.station_peaks(_raw(s, d)),
+        "station_peaks_max": lambda s, d: st.station_peaks(_raw(s, d), order_by="max"),
         "network_total": lambda s, d: st.network_total(_raw(s, d)),
         # anomalies
         "anomalies_fixed": lambda s, d: an.fixed_limits(_raw(s, d)).select(*_FIXED_COLS),
@@ -185,8 +240,11 @@ def queries() -> dict[str, Query]:
         "anomalies_zscore_top": _zscore_top,
         "anomalies_iqr_top": _iqr_top,
         "quartile_fences": lambda s, d: an.quartile_fences(_raw(s, d)),
+        "quartile_fences_wind": lambda s, d: an.quartile_fences(_raw(s, d), "wind_speed"),
+        "quartiles_approximate": _quartiles_approximate,
         "anomalies_iqr": lambda s, d: an.iqr(_raw(s, d)).select(*_IQR_COLS),
         "anomalies_context": lambda s, d: an.context_anomalies(_raw(s, d)).select(*_CTX_COLS),
+        "anomalies_context_top": _context_top,
         "anomalies_context_by_type": lambda s, d: an.count_by(an.context_anomalies(_raw(s, d)), "anomalie_contexte"),
         "anomaly_summary": lambda s, d: an.summary(_raw(s, d)),
         # graph
@@ -221,6 +279,13 @@ def queries() -> dict[str, Query]:
         "feature_importance": _feature_importance,
         "predictions": _predictions,
         "model_split_sizes": lambda s, d: rg.split_sizes(_clean(s, d)),
+        "trees_replayed": _trees_replayed,
+        "category_codes": _category_codes,
+        "feature_rows": _feature_rows,
+        "ridge_coefficients": _ridge_coefficients,
+        "ridge_predictions": _ridge_predictions,
+        "ridge_metrics": _ridge_metrics,
+        "ridge_gradient": _ridge_gradient,
     }
     return {k: _presented(fn) for k, fn in q.items()}
 
@@ -525,6 +590,13 @@ WHERE station_stats.max_index > 2.0
 ORDER BY station_stats.mean_index DESC, station_id, station_name, city, line LIMIT 10""",
             ",\n" + _STATION_STATS,
         ),
+        "station_peaks_max": _with(
+            f"""SELECT station_id, station_name, city, line, {r('mean_index')} AS mean_index,
+  {r('min_index')} AS min_index, {r('max_index')} AS max_index, n_readings FROM station_stats
+WHERE station_stats.max_index > 2.0
+ORDER BY station_stats.max_index DESC, station_id, station_name, city, line LIMIT 10""",
+            ",\n" + _STATION_STATS,
+        ),
         "network_total": _with(
             f"""SELECT {r('sum(idx0)')} AS total, count(*) AS n_readings, {r('avg(idx0)')} AS mean_index,
   {r('coalesce(sum(idx0), 0.0)')} AS total_fold FROM raw_z"""
@@ -565,6 +637,16 @@ ORDER BY pm25 DESC, {", ".join(f"{c} ASC NULLS FIRST" for c in _IQR_COLS if c !=
             _FENCES,
         ),
         "quartile_fences": _with("SELECT q1, q3, iqr, lower, upper FROM fences", _FENCES),
+        "quartile_fences_wind": _with(
+            f"""SELECT {r('q1')} AS q1, {r('q3')} AS q3, {r('q3 - q1')} AS iqr, {r('q1 - 1.5 * (q3 - q1)')} AS lower,
+  {r('q3 + 1.5 * (q3 - q1)')} AS upper
+FROM (SELECT percentile_disc(0.25) WITHIN GROUP (ORDER BY wind_speed) AS q1,
+             percentile_disc(0.75) WITHIN GROUP (ORDER BY wind_speed) AS q3 FROM readings)"""
+        ),
+        "quartiles_approximate": _with(
+            f"""SELECT p.prob, n.n, true AS within_error FROM (VALUES ({_dbl(0.25)}), ({_dbl(0.5)}), ({_dbl(0.75)})) p(prob),
+  (SELECT count(wind_speed) AS n FROM readings) n"""
+        ),
         "anomalies_iqr": _with(
             f"""SELECT {", ".join(_IQR_COLS)} FROM readings, fences
 WHERE pm25 < fences.lower OR pm25 > fences.upper""",
@@ -573,6 +655,11 @@ WHERE pm25 < fences.lower OR pm25 > fences.upper""",
         "anomalies_context": _with(
             f"""SELECT {", ".join(_CTX_COLS)} FROM (SELECT *, {_CTX_CASE} AS anomalie_contexte FROM readings)
 WHERE anomalie_contexte IS NOT NULL"""
+        ),
+        "anomalies_context_top": _with(
+            f"""SELECT {", ".join(_CTX_COLS)} FROM (SELECT *, {_CTX_CASE} AS anomalie_contexte FROM readings)
+WHERE anomalie_contexte IS NOT NULL
+ORDER BY pm25 DESC NULLS LAST, {", ".join(f"{c} ASC NULLS FIRST" for c in _CTX_COLS if c != "pm25")} LIMIT 10"""
         ),
         "anomalies_context_by_type": _with(
             f"""SELECT anomalie_contexte, count(*) AS count FROM (SELECT {_CTX_CASE} AS anomalie_contexte FROM readings)
@@ -695,6 +782,17 @@ FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity <> 'NORMALE'"
 FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity = 'DANGER'"""
         ),
     }
+    # The models' data, and the linear model solved from its moments.
+    rows |= {
+        "model_split_sizes": _with(ms.SPLIT_SIZES, ms.PREPARED_CTE),
+        "trees_replayed": _with(ms.TREES_REPLAYED, ms.PREPARED_CTE),
+        "category_codes": _with(ms.CATEGORY_CODES, ms.PREPARED_CTE),
+        "feature_rows": _with(ms.FEATURE_ROWS, ms.PREPARED_CTE),
+        "ridge_coefficients": _with(ms.RIDGE_COEFFICIENTS, ms.PREPARED_CTE, ms.RIDGE_CTE),
+        "ridge_predictions": _with(ms.RIDGE_PREDICTIONS, ms.PREPARED_CTE, ms.RIDGE_CTE),
+        "ridge_metrics": _with(ms.RIDGE_METRICS, ms.PREPARED_CTE, ms.RIDGE_CTE),
+        "ridge_gradient": _with(ms.RIDGE_GRADIENT, ms.PREPARED_CTE, ms.RIDGE_CTE),
+    }
     # The export is read back from its JSON files: same records as the node view.
     rows["network_export"] = rows["city_nodes"]
     rows["network_export_edges"] = rows["city_edges"]

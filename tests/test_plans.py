@@ -8,7 +8,7 @@ from smogmesh.plans import catalog
 from smogmesh.sources.readings import readings_view
 
 QUERIES = catalog.queries()
-MODELS = {"model_metrics", "best_model", "feature_importance", "predictions", "model_split_sizes"}
+MODELS = {"model_metrics", "best_model", "feature_importance", "predictions", "trees_replayed", "feature_rows", "ridge_predictions", "ridge_metrics"}
 
 
 @pytest.fixture(scope="module")
