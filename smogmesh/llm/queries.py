@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogmesh.llm import alignment, clustering, fingerprints, jaccard_join, language_id, mixing, packing, quality, repeats, token_counts, topk, url_filter, warc
-from smogmesh.llm.common import checkpoint_root, table, written
+from smogmesh.llm.common import checkpoint_root, table
 from smogmesh.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,10 +94,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = alignment.align(
+    packed = alignment.tokens(
         table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
     )
-    return alignment.link_scores(written(aligned, "alignment"))
+    return alignment.link_scores(alignment.stored(packed))
 
 
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from smogmesh.llm import alignment
-from smogmesh.llm.common import written
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, n_links string, pairs int"
@@ -87,10 +86,15 @@ def test_whole_texts_as_units_give_the_same(brute):
 
 
 def test_spans_that_do_not_fill_their_stretch():
-    assert alignment.placed([(0, 2), (2, 5), (2, 5), (5, 6)], [2, 1, 2, 1]) == [2, 3, 5, 6]
-    assert alignment.placed([(0, 1), (1, 1), (1, 1), (1, 4)], [1, 1, 1, 1]) == [1, 2, 3, 4]
-    assert alignment.placed([(0, 2), (2, 3)], [3, 1]) is None
-    assert alignment.placed([(0, 0)], [0]) is None
+    def ends(spans, sizes):
+        s, e = np.array(spans).T
+        out, bad = alignment.placed(s + 10, e + 10, np.array(sizes), np.zeros(len(sizes), dtype=int), np.array([10]))
+        return None if bad[0] else (out - 10).tolist()
+
+    assert ends([(0, 2), (2, 5), (2, 5), (5, 6)], [2, 1, 2, 1]) == [2, 3, 5, 6]
+    assert ends([(0, 1), (1, 1), (1, 1), (1, 4)], [1, 1, 1, 1]) == [1, 2, 3, 4]
+    assert ends([(0, 2), (2, 3)], [3, 1]) is None
+    assert ends([(0, 0)], [1]) is None
 
 
 def wanted(groups_of):
@@ -112,11 +116,24 @@ def wanted(groups_of):
     return out
 
 
+def test_groups_as_arrays(spark, brute):
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(TEXTS)], DOCS).repartition(3)
+    for r in alignment.groups(alignment.tokens(df, A, B)).collect():
+        want = brute[r["doc_id"]] or []
+        assert r["a_ids"] == [x for a, _ in want for x in a] and r["b_ids"] == [x for _, b in want for x in b]
+        assert (r["a_sizes"], r["b_sizes"]) == ([len(a) for a, _ in want], [len(b) for _, b in want])
+
+
+def test_wide_ids_are_packed_in_four_bytes():
+    for ids in ([], [0, 65_535], [1, 65_536, 2_000_000]):
+        assert alignment._unpack(alignment._pack(np.array(ids, dtype=np.int64))).tolist() == ids
+
+
 @pytest.mark.parametrize("most", [1 << 17, 40, 0])
 def test_link_scores(spark, brute, most):
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(TEXTS)], DOCS).repartition(5)
-    aligned = written(alignment.align(df, A, B), "alignment-test")
-    got = sorted(map(tuple, alignment.link_scores(aligned, most=most).collect()))
+    packed = alignment.stored(alignment.tokens(df, A, B))
+    got = sorted(map(tuple, alignment.link_scores(packed, most=most).collect()))
     assert got == [(i, *w) for i, w in enumerate(wanted(brute))]
 
 
@@ -127,7 +144,13 @@ def test_blocks_of_pairs_do_not_change_them(monkeypatch):
         n = int(r.integers(0, 12))
         a, b = r.integers(1, 6, n), r.integers(1, 6, n)
         rows.append((r.integers(0, 9, a.sum()).tolist(), r.integers(0, 9, b.sum()).tolist(), a.tolist(), b.tolist()))
-    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in zip(*rows)], names=["a_ids", "b_ids", "a_sizes", "b_sizes"])
+    def last(sizes):
+        bits = np.zeros(sum(sizes), dtype=bool)
+        bits[np.cumsum(sizes, dtype=int) - 1 if len(sizes) else []] = True
+        return np.packbits(bits).tobytes()
+
+    cells = [(alignment._pack(np.array(a, dtype=int)), alignment._pack(np.array(b, dtype=int)), last(x), last(y)) for a, b, x, y in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*cells)], names=["a", "b", "a_last", "b_last"])
 
     def found():
         return [(int(x), int(p), int(t)) for part in alignment.Aligned(batch, 0, 20).pairs() for x, p, t in zip(*part)]
@@ -145,8 +168,8 @@ def test_blocks_of_pairs_do_not_change_them(monkeypatch):
 
 def test_repeated_rows_null_keys_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "one two", "", 0), (1, "one two", "", 0), (None, "one", "", 0), (2, None, "", 0)], DOCS)
-    got = alignment.link_scores(written(alignment.align(df, A, B), "alignment-test")).collect()
+    got = alignment.link_scores(alignment.stored(alignment.tokens(df, A, B))).collect()
     by = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_links"], r["count_sum"]) for r in got)
     assert by == [(False, 1, 2, 5), (False, 1, 2, 5), (False, 2, 0, 0), (True, 0, 1, 3)]
-    nothing = alignment.align(df.filter("false"), A, B)
-    assert alignment.link_scores(written(nothing, "alignment-test")).count() == 0
+    nothing = alignment.stored(alignment.tokens(df.filter("false"), A, B))
+    assert alignment.link_scores(nothing).count() == 0 and alignment.groups(nothing).count() == 0
