@@ -13,7 +13,6 @@ checkpoint folder, so a lost executor only costs the current round.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,16 +63,22 @@ def edges(df: DataFrame, *, width: int = 10_000) -> DataFrame:
     next one in its bucket, and the last of a bucket is followed by the first of the
     line's next bucket, found in the table of bucket minima.  A line with any
     number of stations is thus ordered in parallel, with the same result for
-    any width.
+    any width.  A null line or city is a group like any other; rows without a
+    station id give no edge.
     """
-    stations = df.select("line", "station_id", "city").distinct()
+    stations = df.filter("station_id is not null").select("line", "station_id", "city").distinct()
     dealt = stations.withColumn("_b", F.floor(F.col("station_id") / width))
     w = Window.partitionBy("line", "city", "_b").orderBy("station_id")
     inside = dealt.withColumn("_next", F.lead("station_id").over(w))
     firsts = dealt.groupBy("line", "city", "_b").agg(F.min("station_id").alias("_first"))
     over = Window.partitionBy("line", "city").orderBy("_b")
-    follow = firsts.select("line", "city", "_b", F.lead("_first").over(over).alias("_after"))
-    ends = inside.join(follow, ["line", "city", "_b"])
+    follow = firsts.select(
+        F.col("line").alias("_line"), F.col("city").alias("_city"), F.col("_b").alias("_bucket"),
+        F.lead("_first").over(over).alias("_after"),
+    )
+    same = F.col("line").eqNullSafe(F.col("_line")) & F.col("city").eqNullSafe(F.col("_city")) & (F.col("_b") == F.col("_bucket"))
+    # Only the last station of a bucket looks further.
+    ends = inside.join(follow, same & F.col("_next").isNull(), "left")
     nxt = F.coalesce("_next", "_after")
     return ends.filter(nxt.isNotNull()).select(
         F.col("station_id").cast("long").alias("src"), nxt.cast("long").alias("dst"), "line", "city"
@@ -137,8 +142,35 @@ def critical_stations(v: DataFrame, e: DataFrame, *, k: int = 10) -> DataFrame:
 # -- propagation -----------------------------------------------------------------
 
 
+#: Hubs that may be sent to every task.
+_MOST_HUBS = 100_000
+
+
+def hub_parts(adj: DataFrame, *, hub_degree: int) -> DataFrame:
+    """``hub, parts``: vertices with more than ``hub_degree`` directed edges, and into how many parts these are cut.
+
+    With E directed edges the limit is never below E / 100,000, so there are
+    never more hubs than that and the table may go to every task.
+    """
+    limit = max(hub_degree, -(-adj.count() // _MOST_HUBS))
+    sizes = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    return sizes.select(F.col("src").alias("hub"), F.ceil(F.col("_n") / limit).cast("int").alias("parts"))
+
+
+def cut_hubs(adj: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Directed edges with ``part``: a hub's edges are dealt over its parts by their other end, others have part 0."""
+    known = adj.join(F.broadcast(hubs), adj.src == hubs.hub, "left")
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("dst"), F.col("parts"))).cast("int")
+    return known.select("src", "dst", part.alias("part"))
+
+
 def propagate(
-    v: DataFrame, e: DataFrame, *, rounds: int = PROPAGATION_ROUNDS, factor: float = PROPAGATION_FACTOR
+    v: DataFrame,
+    e: DataFrame,
+    *,
+    rounds: int = PROPAGATION_ROUNDS,
+    factor: float = PROPAGATION_FACTOR,
+    hub_degree: int = 100_000,
 ) -> DataFrame:
     """Spread pollution along edges: ``x += factor * sum(neighbour x)``, ``rounds`` times.
 
@@ -146,17 +178,31 @@ def propagate(
     message per incident edge (parallel edges twice); isolated vertices keep
     their value.  Equals ``(I + factor·A)^rounds · x0``.
 
+    Vertices and edges are stored once.  The edges of a vertex with more than
+    ``hub_degree`` of them are cut into parts (``cut_hubs``), each of which meets a copy
+    of the vertex's value; messages to it are summed in the tasks they
+    arise in, so no task gets all edges of a hub.
+
     Returns ``(id, name, city, initial, propagated, gain)``.
     """
-    adj = both_directions(e).persist(StorageLevel.MEMORY_AND_DISK)
-    state = cut_lineage(v.select("id", F.col("pollution").alias("x")))
+    v = cut_lineage(v.select("id", "name", "city", "pollution"))
+    adj = cut_lineage(both_directions(e))
+    hubs = cut_lineage(hub_parts(adj, hub_degree=hub_degree))
+    cut = not hubs.isEmpty()
+    if cut:
+        adj = cut_lineage(cut_hubs(adj, hubs))
+    state = v.select("id", F.col("pollution").alias("x"))
     for _ in range(rounds):
         # Own value and incoming messages meet in one aggregation (one shuffle
         # on id, partial sums map-side), instead of an aggregate then a join.
         own = state.select("id", F.col("x").alias("own"), F.lit(None).cast("double").alias("m"))
-        msgs = adj.join(state, adj.src == state.id).select(
-            adj.dst.alias("id"), F.lit(None).cast("double").alias("own"), F.col("x").alias("m")
-        )
+        if cut:
+            parts = F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)))
+            given = state.join(F.broadcast(hubs), state.id == hubs.hub, "left").select("id", "x", F.explode(parts).alias("_part"))
+            met = adj.join(given, (adj.src == given.id) & (adj.part == given._part))
+        else:
+            met = adj.join(state, adj.src == state.id)
+        msgs = met.select(adj.dst.alias("id"), F.lit(None).cast("double").alias("own"), F.col("x").alias("m"))
         nxt = (
             own.unionByName(msgs)
             .groupBy("id")
@@ -169,7 +215,6 @@ def propagate(
             )
         )
         state = cut_lineage(nxt)
-    adj.unpersist()
     return v.join(state, "id").select(
         "id",
         "name",
@@ -192,9 +237,9 @@ def components(v: DataFrame, e: DataFrame) -> DataFrame:
     """Connected components: ``(id, component)``, component = smallest id in it.
 
     Rounds of contraction: every vertex points to the smallest of itself and
-    its neighbours, pointers are followed to their roots by doubling, and the
-    edges between roots are the next round's graph, with at most half as many
-    connected vertices.  The neighbour minimum is a partial aggregate, so a hub
+    its neighbours, pointers are followed to their roots by doubling (rows that
+    have arrived leave the work), and the edges between roots are the next
+    round's graph, with at most half as many connected vertices.  The neighbour minimum is a partial aggregate, so a hub
     costs a row per task; both sides of every join come from checkpoints, so
     their exchanges are plain and a hub's rows can be split at run time.
     """
@@ -204,14 +249,7 @@ def components(v: DataFrame, e: DataFrame) -> DataFrame:
     while not pairs.isEmpty():
         ends = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
         low = ends.groupBy(F.col("p.a").alias("x")).agg(F.min("p.b").alias("m"))
-        point = cut_lineage(low.select("x", F.least("x", "m").alias("to")))
-        while True:
-            hop = point.select(F.col("x").alias("to"), F.col("to").alias("far"))
-            point = cut_lineage(point.join(hop, "to").select("x", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")))
-            if point.filter("moved").isEmpty():
-                break
-            point = point.select("x", "to")
-        root = point.select("x", "to")
+        root = _roots(low.select("x", F.least("x", "m").alias("to")))
         labels = labels.join(root.toDF("component", "_root"), "component", "left").select(
             "id", F.coalesce("_root", "component").alias("component")
         )
@@ -220,6 +258,26 @@ def components(v: DataFrame, e: DataFrame) -> DataFrame:
     return labels
 
 
+def _roots(point: DataFrame) -> DataFrame:
+    """``x, to`` with ``to`` the end of x's pointer chain: two hops a step, rows at their end leave the work."""
+    moving, settled = cut_lineage(point), []
+    while True:
+        table = moving
+        for part in settled:
+            table = table.unionByName(part)
+        first = table.select(F.col("x").alias("_x1"), F.col("to").alias("_to1"))
+        second = table.select(F.col("x").alias("_x2"), F.col("to").alias("_to2"))
+        hop = moving.join(first, F.col("to") == F.col("_x1")).join(second, F.col("_to1") == F.col("_x2"))
+        step = cut_lineage(hop.select("x", F.col("_to2").alias("to"), (F.col("_to1") == F.col("_to2")).alias("_end")))
+        settled.append(step.filter("_end").select("x", "to"))
+        moving = step.filter("not _end").select("x", "to")
+        if moving.isEmpty():
+            out = settled[0]
+            for part in settled[1:]:
+                out = out.unionByName(part)
+            return out
+
+
 def component_sizes(cc: DataFrame) -> DataFrame:
     return cc.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
 
@@ -259,10 +317,31 @@ def city_edges(v: DataFrame, e: DataFrame) -> DataFrame:
     return inside.select(F.col("src").alias("source"), F.col("dst").alias("target"), "line", "city")
 
 
-def export_network(v: DataFrame, e: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Write nodes and edges as JSON records, one folder per city (no driver collect)."""
-    city_nodes(v).write.mode(mode).partitionBy("city").json(f"{path}/nodes")
-    city_edges(v, e).write.mode(mode).partitionBy("city").json(f"{path}/edges")
+def _filed(df: DataFrame, key: str, rows_per_file: int) -> DataFrame:
+    """``df`` dealt into one task per file: a city with more than ``rows_per_file`` rows gets several."""
+    sizes = cut_lineage(df.groupBy("city").agg(F.count(F.lit(1)).alias("_n")))
+    files = F.ceil(F.col("_n") / rows_per_file).cast("int")
+    total = sizes.agg(F.sum(files)).first()[0] or 1
+    # Cities of more than one file: at most as many as there are files' worth of rows.
+    large = sizes.filter(F.col("_n") > rows_per_file).select(F.col("city").alias("_city"), files.alias("_files"))
+    part = F.pmod(F.xxhash64(key), F.coalesce("_files", F.lit(1))).cast("int")
+    dealt = df.join(F.broadcast(large), F.col("city").eqNullSafe(F.col("_city")), "left").withColumn("_part", part)
+    return dealt.repartition(int(total), "city", "_part").drop("_city", "_files", "_part")
+
+
+def export_network(
+    v: DataFrame, e: DataFrame, path: str, *, mode: str = "overwrite", rows_per_file: int = 1_000_000
+) -> None:
+    """Write nodes and edges as JSON records, one folder per city (no driver collect).
+
+    The number of files follows from the rows alone: a city has a file per
+    ``rows_per_file`` rows (about; never more than twice as many in one), however many partitions the input has.
+    Vertices and edges are derived once for both sinks.
+    """
+    v, e = cut_lineage(v), cut_lineage(e)
+    for name, rows, key in (("nodes", city_nodes(v), "id"), ("edges", city_edges(v, e), "source")):
+        filed = _filed(cut_lineage(rows), key, rows_per_file)
+        filed.write.mode(mode).option("maxRecordsPerFile", 2 * rows_per_file).partitionBy("city").json(f"{path}/{name}")
 
 
 def city_summary(v: DataFrame, e: DataFrame) -> DataFrame:

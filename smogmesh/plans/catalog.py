@@ -27,7 +27,7 @@ from smogmesh.operators import stations as st
 from smogmesh.plans import model_sql as ms
 from smogmesh.schema import QUANTILE_ERROR, READING_COLUMNS, SENSOR_COLUMNS
 from smogmesh.session import scratch_path
-from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
+from smogmesh.sources.readings import line_report, load_readings, read_readings, readings_view, write_readings_csv
 from smogmesh.streaming import feeds as sa
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,9 @@ def _clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    c = _clean(spark, d)
-    return gr.vertices(c), gr.edges(c)
+    # Edges take distinct stations anyway: complete rows suffice, without the dedupe of whole rows.
+    raw = _raw(spark, d)
+    return gr.vertices(cl.clean(raw)), gr.edges(cl.drop_missing(raw))
 
 
 def _vertices_text(spark: SparkSession, d: str) -> DataFrame:
@@ -72,6 +73,18 @@ def _readings_csv(spark: SparkSession, d: str) -> DataFrame:
     return load_readings(spark, path)
 
 
+def _csv_report(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of which some lost their last field, got one more or hold a word for a number, read back and counted."""
+    t = F.expr("timestamp div 1000 % 60")
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in READING_COLUMNS}
+    cells["pm25"] = F.when(t == 2, "much").otherwise(cells["pm25"])
+    short = F.concat_ws(",", *[cells[c] for c in READING_COLUMNS[:-1]])
+    line = F.when(t == 0, short).when(t == 1, F.concat_ws(",", short, cells["rain"], F.lit("x"))).otherwise(F.concat_ws(",", short, cells["rain"]))
+    path = scratch_path(spark, "readings-lines")
+    _raw(spark, d).select(line.alias("value")).write.text(path)
+    return line_report(read_readings(spark, path, header=False))
+
+
 def _network_export(spark: SparkSession, d: str) -> DataFrame:
     v, e = _graph(spark, d)
     path = scratch_path(spark, "network")
@@ -90,6 +103,28 @@ def _network_export_edges(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/edges").select("source", "target", "line", "city")
 
 
+def _stream_append(spark: SparkSession, d: str) -> DataFrame:
+    base = scratch_path(spark, "sensor-append")
+    sa.write_sensor_files(_raw(spark, d), f"{base}/input")
+    stream = sa.read_sensors(spark, f"{base}/input", glob="part-*.csv")
+    q = sa.start_feed(
+        sa.abnormal(stream), path=f"{base}/out", checkpoint=f"{base}/checkpoint", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(*SENSOR_COLUMNS, "pollution_index", "severity")
+
+
+def _stream_two_queries(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per feed and severity of the two independent queries."""
+    base = scratch_path(spark, "sensor-two")
+    sa.write_sensor_files(_raw(spark, d), f"{base}/input")
+    stream = sa.read_sensors(spark, f"{base}/input", glob="part-*.csv")
+    for q in sa.run_separate(stream, f"{base}/out", checkpoint=f"{base}/checkpoint", trigger={"availableNow": True}):
+        q.awaitTermination()
+    feeds = [sa.read_feed(spark, f"{base}/out", f).withColumn("feed", F.lit(f)) for f in ("abnormal", "alerts")]
+    return feeds[0].unionByName(feeds[1]).groupBy("feed", "severity").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _stream_feed(feed: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         base = scratch_path(spark, "sensor-stream")
@@ -211,6 +246,7 @@ def queries() -> dict[str, Query]:
         "quality_profile": lambda s, d: cl.quality_profile(_raw(s, d)),
         "network_inventory": lambda s, d: cl.network_inventory(_raw(s, d)),
         "readings_csv": _readings_csv,
+        "csv_line_report": _csv_report,
         # scalar columns
         "who_index": lambda s, d: pr.with_who_index(_raw(s, d)).select("station_id", "timestamp", "pollution_index"),
         "weighted_index": lambda s, d: pr.weighted_readings(_clean(s, d)),
@@ -273,6 +309,8 @@ def queries() -> dict[str, Query]:
         # streaming
         "stream_abnormal": _stream_feed("abnormal"),
         "stream_alerts": _stream_feed("alerts"),
+        "stream_append": _stream_append,
+        "stream_two_queries": _stream_two_queries,
         # models (rows-only check)
         "model_metrics": _model_metrics,
         "best_model": _best_model,
@@ -525,6 +563,10 @@ FROM (SELECT {", ".join(READING_COLUMNS)}, count(*) AS n FROM readings GROUP BY
   count(*) AS n_readings, grouping(city) = 1 AS is_total FROM readings GROUP BY ROLLUP (city)"""
         ),
         "readings_csv": _with("SELECT * REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, round(wind_speed, 6) AS wind_speed) FROM readings"),
+        "csv_line_report": _with(
+            """SELECT CASE timestamp // 1000 % 60 WHEN 0 THEN 'short' WHEN 1 THEN 'long' WHEN 2 THEN 'value' END AS reason,
+  count(*) AS rows, count(station_id) AS with_station FROM readings GROUP BY reason"""
+        ),
         "who_index": _with(f"SELECT station_id, timestamp, {r('pollution_index')} AS pollution_index FROM raw_i"),
         "weighted_index": _with(
             f"""SELECT station_name,
@@ -793,6 +835,12 @@ FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) WHERE severity = 'DANGER'"""
         "ridge_metrics": _with(ms.RIDGE_METRICS, ms.PREPARED_CTE, ms.RIDGE_CTE),
         "ridge_gradient": _with(ms.RIDGE_GRADIENT, ms.PREPARED_CTE, ms.RIDGE_CTE),
     }
+    rows["stream_append"] = rows["stream_abnormal"]
+    rows["stream_two_queries"] = _with(
+        f"""SELECT feed, severity, count(*) AS rows FROM (SELECT *, {_SEVERITY} AS severity FROM raw_i) r
+JOIN (VALUES ('abnormal'), ('alerts')) f(feed) ON severity = 'DANGER' OR (feed = 'abnormal' AND severity = 'ELEVEE')
+GROUP BY feed, severity"""
+    )
     # The export is read back from its JSON files: same records as the node view.
     rows["network_export"] = rows["city_nodes"]
     rows["network_export_edges"] = rows["city_edges"]

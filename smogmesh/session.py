@@ -1,4 +1,4 @@
-"""Session helpers: reliable scratch space and a local session for tests/bench.
+"""Session helpers: reliable scratch tables and a local session for tests/bench.
 
 Iterative operators (propagation, components) and the stream job need a
 shared, fault-tolerant folder.  On a cluster that folder is the one named by
@@ -39,9 +39,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, unlike a local checkpoint."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared checkpoint folder and read back: survives executor loss.
+
+    A written table, not ``checkpoint()``: a checkpoint carries the constraints that the
+    optimizer inferred for its plan into the next one, where joins multiply
+    them (in an iteration planning soon takes longer than the work), and
+    does not know its size.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | None = None, app: str = "smogmesh") -> SparkSession:

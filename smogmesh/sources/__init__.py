@@ -1,5 +1,21 @@
 """Sources and sinks."""
 
-from smogmesh.sources.readings import load_readings, readings_view, write_readings_csv
+from smogmesh.sources.readings import (
+    accepted,
+    line_report,
+    load_readings,
+    read_readings,
+    readings_view,
+    rejected,
+    write_readings_csv,
+)
 
-__all__ = ["load_readings", "readings_view", "write_readings_csv"]
+__all__ = [
+    "accepted",
+    "line_report",
+    "load_readings",
+    "read_readings",
+    "readings_view",
+    "rejected",
+    "write_readings_csv",
+]

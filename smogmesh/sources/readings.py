@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from smogmesh.schema import READING_COLUMNS, READINGS
+from smogmesh.schema import CORRUPT_COLUMN, READING_COLUMNS, READINGS
 
 
 def load_readings(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
@@ -20,6 +21,44 @@ def load_readings(spark: SparkSession, path: str, *, infer: bool = False) -> Dat
     return reader.schema(READINGS).csv(path)
 
 
+def read_readings(spark: SparkSession, path: str, *, header: bool = True) -> DataFrame:
+    """Like ``load_readings``, with the text of every line that does not fit the schema in ``_corrupt_record``.
+
+    Such a line (too few or too many fields, or a value of the wrong type) still
+    gives the fields that could be read.  ``accepted`` and ``rejected`` part the two.
+    """
+    schema = T.StructType([*READINGS.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    reader = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path)
+    # The parser only judges the fields that a query asks for.  As fields of one struct they are all
+    # asked for, so that a line is accepted or rejected alike whatever is selected later.
+    return rows.select(F.inline(F.array(F.struct(*schema.names))))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """Rows whose line fits the schema, as readings."""
+    return rows.filter(F.col(CORRUPT_COLUMN).isNull()).select(*READING_COLUMNS)
+
+
+def _reason() -> Column:
+    line = F.col(CORRUPT_COLUMN)
+    # Commas inside quotes separate nothing.
+    fields = F.length(F.regexp_replace(F.regexp_replace(line, '"[^"]*"', ""), "[^,]", "")) + 1
+    n = len(READING_COLUMNS)
+    return F.when(line.isNull(), None).when(fields < n, "short").when(fields > n, "long").otherwise("value")
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """Rows whose line does not fit, with ``reason``: ``short`` or ``long`` by the number of fields, else ``value``."""
+    return rows.filter(F.col(CORRUPT_COLUMN).isNotNull()).withColumn("reason", _reason())
+
+
+def line_report(rows: DataFrame) -> DataFrame:
+    """``reason, rows, with_station``: lines per reason for rejection (null: accepted), and how many gave a station id."""
+    own = rows.withColumn("reason", _reason()).groupBy("reason")
+    return own.agg(F.count(F.lit(1)).alias("rows"), F.count("station_id").alias("with_station"))
+
+
 def write_readings_csv(df: DataFrame, path: str) -> None:
     """Write readings as headered CSV files (null → empty field)."""
     df.select(*READING_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
