@@ -19,21 +19,23 @@ from pyspark.sql import functions as F
 
 from smogmesh.llm.common import written
 
-#: Components saturate here: sums over 2**20 dimensions still fit 64 bits.
-LIMIT = 1 << 21
+_LONG_MAX = (1 << 63) - 1
 
 
 def scaled(vectors: DataFrame, key: str, vec: str, scale: int = 1024) -> DataFrame:
-    """``id, q``: components as floor(scale * x), x as double.
+    """``id, q``: components as floor(scale * x), x as double; whole numbers of any size, as doubles.
 
-    Vectors that are null or hold a null or non-finite component are left
-    out.  Results beyond +-2**21 saturate.
+    Vectors that are null or hold a null or non-finite component (also one that is
+    finite before the scaling only) are left out.
     """
     x = F.col(vec)
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
-    whole = F.transform(
-        x, lambda c: F.greatest(F.lit(float(-LIMIT)), F.least(F.lit(float(LIMIT)), F.floor(c.cast("double") * scale).cast("double"))).cast("int")
-    )
+
+    def times(c):
+        return c.cast("double") * F.lit(float(scale))
+
+    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(times(c)) == float("inf")))
+    # Doubles from 2**53 on are whole already; floor() is a long.
+    whole = F.transform(x, lambda c: F.when(F.abs(times(c)) < 2.0**53, F.floor(times(c)).cast("double")).otherwise(times(c)))
     return vectors.filter(x.isNotNull()).filter(~bad).select(F.col(key).cast("long").alias("id"), whole.alias("q"))
 
 
@@ -43,15 +45,17 @@ _BLOCK = pa.schema([("ids", pa.binary()), ("dims", pa.int32()), ("cols", pa.bina
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
     """Vertical blocks: up to ``size`` vectors' ids and their columns, one column after the other.
 
-    Vectors shorter than the block's longest are filled with zeros.
+    Vectors shorter than the block's longest are filled with zeros.  Columns are 32-bit whole
+    numbers, or doubles if a component needs more.
     """
 
-    def block(ids: list[int], vecs: list[list[int]]) -> pa.RecordBatch:
+    def block(ids: list[int], vecs: list[list[float]]) -> pa.RecordBatch:
         dims = max(map(len, vecs))
-        m = np.zeros((len(vecs), dims), dtype="<i4")
+        m = np.zeros((len(vecs), dims))
         for i, v in enumerate(vecs):
             m[i, : len(v)] = v
-        cols = np.ascontiguousarray(m.T).tobytes()
+        narrow = np.abs(m).max(initial=0) < 2.0**31
+        cols = np.ascontiguousarray(m.T).astype("<i4" if narrow else "<f8").tobytes()
         return pa.RecordBatch.from_pydict(
             {"ids": [np.array(ids, dtype="<i8").tobytes()], "dims": [dims], "cols": [cols]}, schema=_BLOCK
         )
@@ -72,7 +76,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 def _columns(cols: bytes, dims: int, n: int, wide: int) -> np.ndarray:
     m = np.zeros((wide, n))
-    m[:dims] = np.frombuffer(cols, dtype="<i4").reshape(dims, n)
+    m[:dims] = np.frombuffer(cols, dtype="<i4" if len(cols) == 4 * dims * n else "<f8").reshape(dims, n)
     return m
 
 
@@ -81,7 +85,8 @@ class Search:
 
     def __init__(self, ids: np.ndarray, cols: bytes, dims: int, k: int):
         self.ids, self.cols, self.dims, self.k = ids, cols, dims, k
-        self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, dtype=np.int64)) for _ in ids]
+        #: Per query the best (-score, id), in order.
+        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
         #: What a candidate must reach to matter: the k-th best score so far.
         self.floor = np.full(len(ids), -np.inf)
 
@@ -89,14 +94,15 @@ class Search:
         dims = max(self.dims, c_dims, 1)
         q = _columns(self.cols, self.dims, len(self.ids), dims)
         c = _columns(c_cols, c_dims, len(c_ids), dims)
-        # Exact in doubles while every partial sum stays below 2**53.
-        if np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * dims >= 2.0**53:
-            q, c = q.astype(np.int64), c.astype(np.int64)
+        # Exact in doubles while every partial sum stays below 2**53, else with Python's whole numbers.
+        plain = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * dims < 2.0**53
         # Dimensions in which the queries are longest come first: the bound shrinks fastest.
         order = np.argsort(-(q.astype(float) ** 2).sum(axis=1), kind="stable")
         q, c = q[order], c[order]
         q_rest = np.sqrt(np.cumsum((q.astype(float) ** 2)[::-1], axis=0)[::-1])
         c_rest = np.sqrt(np.cumsum((c.astype(float) ** 2)[::-1], axis=0)[::-1])
+        if not plain:
+            q, c = (np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (q, c))
         alive = np.arange(len(c_ids))
         part = np.zeros((len(self.ids), len(c_ids)), dtype=q.dtype)
         for lo in range(0, dims, step):
@@ -104,7 +110,9 @@ class Search:
             part += q[lo:hi].T @ c[lo:hi]
             if hi < dims:
                 # A hair above the true length covers the rounding of the square roots.
-                reach = part + q_rest[hi][:, None] * c_rest[hi][None, :] * (1 + 1e-9) + 1e-6
+                # (and, for wide numbers, that of the partial sums).
+                rest = q_rest[hi][:, None] * c_rest[hi][None, :] * (1 + 1e-9) + 1e-6
+                reach = part + rest if plain else part.astype(float) * (1 + 1e-12 * np.sign(part.astype(float))) + rest
                 keep = (reach >= self.floor[:, None]).any(axis=0)
                 if keep.sum() < 0.75 * len(alive):
                     alive, c, part, c_rest = alive[keep], c[:, keep], part[:, keep], c_rest[:, keep]
@@ -112,19 +120,26 @@ class Search:
                         return
         for i in range(len(self.ids)):
             at = np.flatnonzero(part[i] >= self.floor[i])
-            if len(at) > 4 * self.k:
-                near = np.partition(part[i][at], len(at) - self.k - 1)[len(at) - self.k - 1]
-                at = at[part[i][at] >= near]
-            own = alive[at]
-            other = c_ids[own] != self.ids[i]
-            if not other.any():
-                continue
-            scores = np.concatenate([self.best[i][0], part[i][at][other]])
-            ids = np.concatenate([self.best[i][1], c_ids[own][other]])
-            top = np.lexsort((ids, -scores))[: self.k]
-            self.best[i] = scores[top], ids[top]
-            if len(top) == self.k:
-                self.floor[i] = scores[top][-1]
+            if plain and len(at) > 4 * self.k:
+                # One more than k: the query itself may be among them.
+                far = len(at) - self.k - 1
+                at = at[part[i][at] >= np.partition(part[i][at], far)[far]]
+            own = self.ids[i]
+            found = [(-int(part[i][x]), int(c_ids[alive[x]])) for x in at if c_ids[alive[x]] != own]
+            if found:
+                self.best[i] = sorted(self.best[i] + found)[: self.k]
+                if len(self.best[i]) == self.k:
+                    # Just below the score: a double may round it up.
+                    self.floor[i] = np.nextafter(float(-self.best[i][-1][0]), -np.inf)
+
+
+def _ordered(scores: list[int]) -> list[pa.Array]:
+    """Scores as longs (null beyond 64 bits), the side on which they leave that range, and a text that sorts those that do."""
+    side = [1 if s > _LONG_MAX else -1 if s < ~_LONG_MAX else 0 for s in scores]
+    # Numbers of at most 700 digits: components are finite doubles.
+    far = [f"{s + 10**700 * (s < 0):0700d}" if x else None for s, x in zip(scores, side)]
+    fits = [None if x else s for s, x in zip(scores, side)]
+    return [pa.array(fits, pa.int64()), pa.array(side, pa.int32()), pa.array(far, pa.string())]
 
 
 def top_k(
@@ -144,7 +159,8 @@ def top_k(
     with another key.  Ties go to the smaller key; rows that repeat a key are
     candidates each.  Rows with a null key take no part, nor do vectors that
     are null or hold a null or non-finite component; columns beyond key and
-    vec are ignored.  Shorter vectors count as filled with zeros.
+    vec are ignored.  Shorter vectors count as filled with zeros.  Scores are
+    ranked as whole numbers of any size; one beyond 64 bits is given as null.
 
     Blocks of candidates stay where they are read; every block of queries is
     sent to each of a number of groups of candidate blocks, and a task keeps
@@ -173,14 +189,14 @@ def top_k(
         def results():
             q_out, c_out, s_out = [], [], []
             for s in searches:
-                for q, (scores, ids) in zip(s.ids, s.best):
-                    q_out.append(np.full(len(ids), q))
-                    c_out.append(ids)
-                    s_out.append(scores.astype(np.int64))
+                for q, best in zip(s.ids.tolist(), s.best):
+                    q_out += [q] * len(best)
+                    c_out += [i for _, i in best]
+                    s_out += [-n for n, _ in best]
             if q_out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(np.int64)) for x in (q_out, c_out, s_out)],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array(q_out, pa.int64()), pa.array(c_out, pa.int64())] + _ordered(s_out),
+                    names=["query_id", "vec_id", "score", "side", "far"],
                 )
 
         for batch in batches:
@@ -196,8 +212,8 @@ def top_k(
                         s.add(ids, r["cols"], r["dims"], step)
         yield from results()
 
-    part = both.mapInArrow(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    part = both.mapInArrow(run, "query_id long, vec_id long, score long, side int, far string")
+    best = Window.partitionBy("query_id").orderBy(F.col("side").desc(), F.col("far").desc(), F.col("score").desc(), "vec_id")
     return (
         part.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
