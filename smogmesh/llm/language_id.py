@@ -59,10 +59,10 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Filters:
-    """Bit-sliced Bloom filters: ``rows[r]`` has bit l set if bit r of language l's filter is."""
+    """Bit-sliced Bloom filters: bit l of ``rows[r]`` (64 languages a word) is set if bit r of language l's filter is."""
 
     languages: list[str]
-    rows: np.ndarray  # uint64
+    rows: np.ndarray  # uint64, one column per 64 languages
     n_hashes: int
     false_positive: np.ndarray  # per language
     prior: int  # the language given where nothing decides
@@ -74,7 +74,7 @@ class Filters:
         return [((a + np.uint64(i) * b) % size).astype(np.int64) for i in range(self.n_hashes)]
 
     def languages_of(self, packed: np.ndarray) -> np.ndarray:
-        """Mask of the languages that hold each n-gram."""
+        """Mask of the languages that hold each n-gram, a row of words per n-gram."""
         mask = None
         for p in self.positions(packed):
             mask = self.rows[p] if mask is None else mask & self.rows[p]
@@ -88,11 +88,11 @@ class Filters:
         """
         text, packed, letters = grams(texts)
         distinct, code = np.unique(packed, return_inverse=True)
-        mask = self.languages_of(distinct) if len(distinct) else np.zeros(0, dtype=np.uint64)
+        mask = self.languages_of(distinct) if len(distinct) else np.zeros((0, self.rows.shape[1]), dtype=np.uint64)
         n = letters.astype(np.float64)
         hits = np.empty((len(self.languages), len(texts)))
         for lang in range(len(self.languages)):
-            bit = ((mask >> np.uint64(lang)) & np.uint64(1)).astype(np.float64)
+            bit = ((mask[:, lang // 64] >> np.uint64(lang % 64)) & np.uint64(1)).astype(np.float64)
             hits[lang] = np.bincount(text, weights=bit[code], minlength=len(texts))
         fp = self.false_positive[:, None]
         true = np.clip((hits - fp * n) / (1 - fp), 0, None)
@@ -129,14 +129,14 @@ def fit_filters(
     the ``max_grams`` most frequent n-grams can enter; an n-gram enters the
     filters of all languages whose relative frequency for it is at least
     ``ratio`` times the highest one.  The driver holds at most ``max_grams``
-    n-grams of at most 64 languages, the 64 most frequent ones.
+    n-grams per language; the filters have ``bits`` bits per language.
     """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("_key"), F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang")
     )
-    counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "_lang").limit(64).collect()
+    counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "_lang").collect()
     if not counts:
-        return Filters([], np.zeros(1, dtype=np.uint64), 1, np.zeros(0), 0)
+        return Filters([], np.zeros((1, 1), dtype=np.uint64), 1, np.zeros(0), 0)
     languages = sorted(r["_lang"] for r in counts)
     scale = 1 << 30
     cut = F.create_map(*[x for r in counts for x in (F.lit(r["_lang"]), F.lit(min(scale, scale * max_docs // r["n"])))])
@@ -167,14 +167,14 @@ def fit_filters(
     share = table.pivot_table(index="gram", columns="lang", values="f", fill_value=0.0).reindex(columns=languages, fill_value=0.0)
     values = share.to_numpy()
     keep = values >= ratio * values.max(axis=1, keepdims=True) if len(values) else np.zeros((0, len(languages)), bool)
-    rows_ = np.zeros(bits, dtype=np.uint64)
+    rows_ = np.zeros((bits, -(-len(languages) // 64)), dtype=np.uint64)
     filters = Filters(languages, rows_, n_hashes, np.zeros(len(languages)), 0)
     packed = share.index.to_numpy().astype(np.int64).view(np.uint64)
     for lang_no in range(len(languages)):
         for p in filters.positions(packed[keep[:, lang_no]]):
-            np.bitwise_or.at(rows_, p, np.uint64(1 << lang_no))
+            np.bitwise_or.at(rows_[:, lang_no // 64], p, np.uint64(1 << lang_no % 64))
     for lang_no in range(len(languages)):
-        load = float(((rows_ >> np.uint64(lang_no)) & np.uint64(1)).mean())
+        load = float(((rows_[:, lang_no // 64] >> np.uint64(lang_no % 64)) & np.uint64(1)).mean())
         filters.false_positive[lang_no] = load**n_hashes
     filters.prior = languages.index(counts[0]["_lang"])
     return filters
