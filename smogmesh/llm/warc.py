@@ -24,8 +24,6 @@ from smogmesh.llm.common import written
 
 MAGIC = "WARC/1.1\r\n"
 _END = "\r\n\r\n"
-#: A record's header block is far smaller; a candidate without an end of header in this many bytes is none.
-MAX_HEADER = 1 << 16
 
 
 def _base32(hex_digest: Column) -> Column:
@@ -116,8 +114,8 @@ def _block_starts(chunks: DataFrame) -> DataFrame:
 
 
 def parse_head(chunk: bytes) -> tuple[dict[str, str], int] | None:
-    """Header fields (lower-case names) and length of the header block that opens ``chunk``."""
-    end = chunk.find(_END.encode(), 0, MAX_HEADER)
+    """Header fields (lower-case names) and length of the header block, however long, that opens ``chunk``."""
+    end = chunk.find(_END.encode())
     if end < 0:
         return None
     fields = {}
