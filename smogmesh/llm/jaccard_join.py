@@ -112,7 +112,8 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
     """``_id, n, s1, s2, prefix``: set size, set identity and the pivots of each document.
 
     Of documents with one set, only the first that a task meets lists pivots
-    (a task remembers up to a million sets), so copies meet in no region.
+    (a task remembers some hundred thousand sets), so copies meet in no region.
+    Rows without an id list none and stand for nobody.
     """
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     schema = pa.schema(
@@ -144,9 +145,13 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
                 # ceil(keep * n) shared shingles at least: the first n - that + x must hold x of them.
                 length = np.where(n > 0, n - -(-(keep.numerator * n) // keep.denominator) + 1 + n // _EXTRA, 0)
                 first, second = signed(s1[ends] - s1[ends - n]) & _CLASS, signed(s2[ends] - s2[ends - n])
-                if len(seen) > 1_000_000:
+                if len(seen) > 250_000:
                     seen.clear()
+                keyed = batch.column("_id").slice(lo, m).is_valid().to_pylist()
                 for i, same in enumerate(zip(first.tolist(), second.tolist())):
+                    if not keyed[i]:
+                        length[i] = 0
+                        continue
                     if same in seen:
                         length[i] = 0
                     seen.add(same)
