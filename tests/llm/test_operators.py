@@ -2,12 +2,14 @@
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from smogmesh.llm import fingerprints, jaccard_join, language_id, mixing, packing, repeats, token_counts, topk, url_filter, warc
 from smogmesh.llm.queries import URL_RULES
@@ -124,6 +126,78 @@ def test_top_k(spark):
     assert topk.top_k(df.filter("vec_id < 0")).count() == 0
 
 
+def test_top_k_of_wide_unequal_and_repeated_vectors(spark):
+    r = random.Random(6)
+    vecs = [(i, [r.choice((-1, 1)) * 10.0 ** r.uniform(-3, 30) for _ in range(r.randrange(0, 5))]) for i in range(60)]
+    vecs += [(100, [1.0]), (1007, [3000.0]), (1008, [4000.0]), (1008, [4000.0]), (None, [9.0]), (200, [2.0**40, 1.0]), (9, [2.0**40, -1.0]), (10, [2.0**40, 0.0])]
+    df = spark.createDataFrame([(i, v, "x", 2) for i, v in vecs], "vec_id long, embedding array<double>, score string, rank int").repartition(3)
+    whole = [(i, [math.floor(1024 * x) if abs(1024 * x) < 2**53 else int(1024 * x) for x in v]) for i, v in vecs if i is not None]
+    want = []
+    for q, a in whole:
+        if q % 100 == 0:
+            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q)[:10]
+            want += [(q, k + 1, i, -n if -(2**63) <= -n < 2**63 else None) for k, (n, i) in enumerate(found)]
+    got = [tuple(x) for x in topk.top_k(df, block=16, query_block=2, step=2).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    two = sorted((x["rank"], x["vec_id"], x["score"]) for x in topk.top_k(df.filter("vec_id in (1007, 1008, 100)")).collect())
+    assert two == [(1, 1008, 4194304000), (2, 1008, 4194304000), (3, 1007, 3145728000)]
+
+
+def test_more_than_64_languages(spark):
+    names = [f"l{i:03d}" for i in range(80)]
+    r = random.Random(2)
+    words = {n: ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(6)] for n in names}
+    rows = [(i, " ".join(r.choice(words[n]) for _ in range(20)), n, 0, 0) for i, n in enumerate(names * 3)]
+    filters = language_id.fit_filters(spark.createDataFrame(rows, DOC))
+    assert filters.languages == names and filters.rows.shape[1] == 2
+    probe = spark.createDataFrame([(i, " ".join(words[n]), n, 0, 0) for i, n in enumerate(names)], DOC)
+    assert all(x["lang_pred"] == x["lang"] for x in language_id.identify(probe, filters).collect())
+
+
+def test_language_masks_and_held_out_accuracy(spark):
+    """Every n-gram's mask holds the languages whose exact set has it; held-out documents are told apart."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null")
+    apart = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    filters = language_id.fit_filters(docs.filter(~apart), max_grams=300)
+    texts = {}
+    for x in docs.filter(~apart).collect():
+        texts.setdefault(x["lang"], []).append(x["text"] or "")
+    share = {}
+    for lang, own in texts.items():
+        g, n = np.unique(language_id.grams(own)[1], return_counts=True)
+        top = sorted(zip((-n).tolist(), g.view(np.int64).tolist()))[:300]
+        share[lang] = {v: -c / n.sum() for c, v in top}
+    every = {v for s in share.values() for v in s}
+    exact = {v: {lang for lang, s in share.items() if s.get(v, 0) >= 0.5 * max(x.get(v, 0) for x in share.values()) and v in s} for v in every}
+    packed = np.array(sorted(every), dtype=np.int64).view(np.uint64)
+    mask = filters.languages_of(packed)[:, 0]
+    extra = 0
+    for v, m in zip(packed.view(np.int64).tolist(), mask.tolist()):
+        held = {lang for i, lang in enumerate(filters.languages) if m >> i & 1}
+        assert exact[v] <= held
+        extra += len(held - exact[v])
+    assert extra <= 0.02 * len(every) * len(share)
+    full = language_id.fit_filters(docs.filter(~apart))
+    test = language_id.identify(docs.filter(apart), full).collect()
+    assert len(test) > 50 and sum(x["lang"] == x["lang_pred"] for x in test) >= 0.95 * len(test)
+
+
+def test_jaccard_rows_without_a_key_stand_for_nobody(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join([*words[:30], "changed", *words[31:]])
+    df = spark.createDataFrame([(None, a), (1, a), (2, b), (None, b)], "doc_id long, text string").coalesce(1)
+    got = sorted((x["doc_id"] or 0, x["n_shingles"], x["component_id"]) for x in jaccard_join.components(df).collect())
+    assert got == [(0, 56, None), (0, 56, None), (1, 56, 1), (2, 56, 1)]
+
+
+def test_warc_with_a_very_long_url(spark):
+    df = spark.createDataFrame([(1, "http://x/" + "u" * 150_000, "<p>one</p>"), (2, "http://y", "<p>two</p>")], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-long")
+    warc.write_archives(df, path)
+    got = sorted((r["page_id"], r["payload_bytes"]) for r in warc.archive_index(warc.read_records(spark, path)).collect())
+    assert got == [(1, 10), (2, 10)]
+
+
 def test_language(spark, empty):
     r = random.Random(3)
     rows = [(i, " ".join(r.choice(w) for _ in range(30)), lang, 1, 2) for i, (lang, w) in enumerate(
