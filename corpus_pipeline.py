@@ -20,15 +20,21 @@ MIX_BUDGET = 1.25
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: ``und`` and texts without a clear claim go.
+    """Documents in a known language: ``und`` (null, empty and letterless texts) and texts without a clear claim go.
 
-    The predicted language fills in where ``lang`` is null; a given one stays.
+    The predicted language fills in where ``lang`` is null; a given one stays, as do all
+    other columns, whatever their names.  Rows are judged one by one, repeated ones and
+    those without an id too.  Without any labelled text nothing is known and all go;
+    an empty table stays empty.
     """
     ship(spark)
     filters = language_id.fit_filters(docs)
-    seen = language_id.identify(docs, filters)
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("text").alias("_text"))
+    seen = language_id.identify(whole, filters, text="_text")
     kept = seen.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    own = {c: F.col("_doc")[c] for c in docs.columns}
+    own["lang"] = F.coalesce(own["lang"], F.col("lang_pred"))
+    return kept.select(*[own[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,22 +59,37 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Texts without the byte strings that an earlier text or place holds.
 
     A character that a removed stretch cuts through goes with it.  Documents
-    of which nothing is left go.
+    of which nothing is left go.  Of rows that repeat an id one stays, that with the
+    smallest text; rows without an id, and null and empty texts, stay as they are.
+    Other columns stay, whatever their names.
     """
     ship(spark)
+    if not docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        whole = F.struct(*docs.columns)
+        first = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min_by(whole, F.struct("text")).alias("_doc"))
+        once = first.select("_doc.*").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+        docs = written(once, "pipeline-once")
     kept = repeats.remove_repeats(docs.select("doc_id", "text"), with_text=True).filter("n_removed > 0 or doc_id is null")
     kept = written(kept.select("doc_id", "n_bytes", "n_removed", "kept"), "pipeline-kept")
     cut = kept.filter("doc_id is not null").select(
-        "doc_id", _readable("kept").alias("_new"), "n_bytes", "n_removed"
+        F.col("doc_id").alias("_id"), _readable("kept").alias("_new"), (F.col("n_removed") < F.col("n_bytes")).alias("_left")
     )
-    both = docs.join(cut, "doc_id", "left").filter("_new is null or n_removed < n_bytes")
-    text = F.coalesce("_new", "text")
-    new = {"text": text, "n_chars": F.when(F.col("_new").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("n_chars"))}
+    both = docs.join(cut, F.col("doc_id") == F.col("_id"), "left").filter("_new is null or _left")
+    changed = F.col("_new").isNotNull()
+    new = {"text": F.when(changed, F.col("_new")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("_new").cast("long")).otherwise(F.col("n_chars"))
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out by their rate, so that domains meet their weights."""
+    """Documents repeated or left out by their rate, so that domains meet their weights.
+
+    A document's rate is how often it is repeated (the part below one by a hash of its id).
+    Rows that repeat an id share the largest of their rates; rows without an id stay
+    once; texts without words stay once or twice, at the budget's rate.
+    Columns stay as they are, whatever their names; an empty table stays empty.
+    """
     ship(spark)
     labels = table(spark, sf_dir, "labels")
     rated = written(mixing.mix(docs, labels, TARGETS, budget=MIX_BUDGET), "pipeline-rated")
@@ -76,7 +97,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of fixed token windows."""
+    """The pieces of fixed token windows: ``packing.pack`` of all rows.
+
+    A null or empty text is one end token; rows that repeat an id, or have none, are
+    packed each; other columns are left out.  An empty table has no pieces.
+    """
     ship(spark)
     return packing.pack(docs, tokenizer("word_bpe_49k.json"), window=WINDOW)
 
