@@ -134,3 +134,11 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder in the store that holds it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``written`` gave and nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            discard(df.sparkSession, files[0].rsplit("/", 1)[0])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import byte_codes, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches, written
+from smogmesh.llm.common import byte_codes, drop_written, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches, written
 from smogmesh.llm.links import smallest_reachable
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -98,7 +98,7 @@ def heavy_shingles(docs: DataFrame, k: int, *, sample_docs: int = 4_000, size: i
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for lo, hi in text_batches(batch, "_text", 4 << 20):
+            for lo, hi in text_batches(batch, "_text", 1 << 20):
                 _, h = shingle_hashes(_texts(batch, lo, hi), k)
                 g, c = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(g)), pa.array(c.astype(np.int64))], names=["g", "n"])
@@ -126,7 +126,7 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
         sorted_late = late[by_hash]
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for lo, hi in text_batches(batch, "_text", 4 << 20):
+            for lo, hi in text_batches(batch, "_text", 1 << 20):
                 r, h = shingle_hashes(_texts(batch, lo, hi), k)
                 m = hi - lo
                 n = np.bincount(r, minlength=m)
@@ -175,7 +175,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for lo, hi in text_batches(batch, "_text", 4 << 20):
+            for lo, hi in text_batches(batch, "_text", 1 << 20):
                 r, h = shingle_hashes(_texts(batch, lo, hi), k)
                 ends = np.cumsum(np.bincount(r, minlength=hi - lo))
                 cuts = np.concatenate([[0], ends])
@@ -303,6 +303,7 @@ def components(
     # Sizes of linked sets differ by the factor `keep` at most: they lie in one or in neighbouring rings.
     ring = F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / keep) * 1.01)).cast("long")
     regions = written(_ringed(regions, ring), "jaccard-regions")
+    drop_written(shared)
 
     wanted = written(regions.select("m").distinct(), "jaccard-wanted")
     reps = classes.select(F.col("rep").alias("_id"), "s1")
@@ -311,7 +312,8 @@ def components(
     sets = written(_sets(texts, k), "jaccard-sets")
     rows_of = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("m").alias("d")).first()
     if rows_of["n"] > rows_of["d"]:  # rows that repeat a key
-        sets = written(sets.dropDuplicates(["m"]), "jaccard-sets")
+        before, sets = sets, written(sets.dropDuplicates(["m"]), "jaccard-sets")
+        drop_written(before)
 
     links = None
     label = wanted.withColumn("comp", F.col("m"))
@@ -321,6 +323,7 @@ def components(
         state = regions.join(label, "m")
         open_ = state.groupBy("r").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("r")
         state = written(state.join(open_, "r"), "jaccard-open")
+        drop_written(regions)
         if state.isEmpty():
             break
         # Members of unlike components go to unlike slots; a level has sixteen times the last one's slots.
@@ -337,8 +340,11 @@ def components(
         b = sets.select("m", F.col("items").alias("b"))
         found = written(_measured(todo.join(a, "p").join(b, "m").select("p", "m", "a", "b")), "jaccard-measured")
         close = found.filter(F.col("inter") * keep.denominator >= F.col("total") * keep.numerator).select("p", "m")
+        close = written(close, "jaccard-links")
         links = close if links is None else links.unionByName(close)
-        label = written(smallest_reachable(wanted, links, node="m", a="p", b="m", label="comp"), "jaccard-labels")
+        known, label = label, written(smallest_reachable(wanted, links, node="m", a="p", b="m", label="comp"), "jaccard-labels")
+        if level:
+            drop_written(known)
 
         # Next level: without the pivots, in rings of the radius by distance to the lead.
         rest = state.drop("comp").join(chosen.select("r", F.col("p").alias("m")), ["r", "m"], "left_anti").join(lead, "r")
@@ -350,7 +356,8 @@ def components(
         ring = ((num - num % den) / den).cast("long")
         regions = written(_ringed(rest, ring), "jaccard-regions")
         members = regions.select("m").distinct()
-        sets = written(sets.join(members, "m", "left_semi"), "jaccard-sets")
+        before, sets = sets, written(sets.join(members, "m", "left_semi"), "jaccard-sets")
+        drop_written(before, state, chosen, found)
         level += 1
 
     named = classes.join(label.select(F.col("m").alias("s1"), "comp"), "s1", "left")
