@@ -146,8 +146,5 @@ def readings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rain": F.when((F.lit(40) + k % 60 > 70) & (eid % 5 < 2), F.lit(1)).otherwise(F.lit(0)).cast("int"),
     }
     # About 1 % of the events are read twice: exact copies for the dedupe step.
-    # The columns leave an inline() of structs: they are its own output, not
-    # renamings, so a predicate over many of them is cheap to plan.
-    row = F.struct(*[c.alias(n) for n, c in cols.items()])
-    copies = F.array_repeat(row, F.when(eid % 100 == 1, 2).otherwise(1))
-    return joined.select(copies.alias("_rows")).select(F.inline("_rows")).select(*READING_COLUMNS)
+    times = F.explode(F.sequence(F.lit(1), F.when(eid % 100 == 1, 2).otherwise(1)))
+    return joined.select("*", times.alias("_copy")).select(*[c.alias(n) for n, c in cols.items()])
