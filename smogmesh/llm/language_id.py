@@ -145,7 +145,7 @@ def fit_filters(
     def count(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             langs = np.array(batch.column("_lang").to_pylist(), dtype=object)
-            for lo, hi in text_batches(batch, "_text", 8 << 20):
+            for lo, hi in text_batches(batch, "_text", 1 << 20):
                 t, packed, _ = grams(batch.column("_text").slice(lo, hi - lo).to_pylist())
                 of = langs[lo:hi][t] if len(t) else np.zeros(0, dtype=object)
                 for name in set(langs[lo:hi]):
@@ -195,7 +195,7 @@ def identify(docs: DataFrame, filters: Filters, *, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]):
         f = shared.value
         for batch in batches:
-            for lo, hi in text_batches(batch, text, 4 << 20):
+            for lo, hi in text_batches(batch, text, 1 << 20):
                 part = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in part.column(text).to_pylist()]
                 if f.languages:
