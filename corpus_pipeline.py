@@ -29,10 +29,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     ship(spark)
     filters = language_id.fit_filters(docs)
-    whole = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("text").alias("_text"))
-    seen = language_id.identify(whole, filters, text="_text")
+    # Numbered names: a column of the documents may be called like one of the operator's.
+    name = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    seen = language_id.identify(docs.toDF(*name.values()), filters, text=name["text"])
     kept = seen.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    own = {c: F.col("_doc")[c] for c in docs.columns}
+    own = {c: F.col(n) for c, n in name.items()}
     own["lang"] = F.coalesce(own["lang"], F.col("lang_pred"))
     return kept.select(*[own[c].alias(c) for c in docs.columns])
 
