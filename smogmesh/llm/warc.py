@@ -24,6 +24,8 @@ from smogmesh.llm.common import written
 
 MAGIC = "WARC/1.1\r\n"
 _END = "\r\n\r\n"
+#: Digests of repeated payloads (some 60 bytes each) that may be sent to every task.
+BROADCAST_ROWS = 250_000
 
 
 def _base32(hex_digest: Column) -> Column:
@@ -60,10 +62,13 @@ def write_archives(pages: DataFrame, path: str, *, key: str = "page_id", payload
         body.alias("_body"),
         F.sha1(body.cast("binary")).alias("_s"),
     )
-    best = written(rows.groupBy("_s").agg(F.max("_k").alias("_best")), "warc-best")
-    rows = rows.join(best, "_s")
+    # Only payloads that occur again need to know of each other; bodies meet their table without
+    # a shuffle as long as it is small.
+    many = rows.groupBy("_s").agg(F.max("_k").alias("_best"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    many = written(many, "warc-best")
+    rows = rows.join(F.broadcast(many) if many.count() <= BROADCAST_ROWS else many, "_s", "left")
     size = F.octet_length(F.col("_body").cast("binary")).cast("long")
-    is_response = F.col("_k").eqNullSafe(F.col("_best"))
+    is_response = F.col("_n").isNull() | F.col("_k").eqNullSafe(F.col("_best"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         size.cast("string"),

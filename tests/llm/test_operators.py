@@ -190,6 +190,21 @@ def test_jaccard_rows_without_a_key_stand_for_nobody(spark):
     assert got == [(0, 56, None), (0, 56, None), (1, 56, 1), (2, 56, 1)]
 
 
+@pytest.mark.parametrize("rows", [250_000, 0])
+def test_warc_repeated_payloads_broadcast_or_not(spark, monkeypatch, rows):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", rows)
+    pages = [(i, "u", f"page {i % 7}") for i in range(40)] + [(50, None, None), (51, "", ""), (None, "x", "page 3"), (60, "v", "alone"), (39, "u", "page 4")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    path = scratch_path(spark, "warc-repeats")
+    warc.write_archives(df, path)
+    best = {}
+    for i, _, h in pages:
+        best[h or ""] = max(best.get(h or "", -1), -1 if i is None else i)
+    want = [(i, "response" if (i if i is not None else -1) == best[h or ""] else "revisit", None if (i if i is not None else -1) == best[h or ""] else best[h or ""]) for i, _, h in pages]
+    got = [(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archive_index(warc.read_records(spark, path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_warc_with_a_very_long_url(spark):
     df = spark.createDataFrame([(1, "http://x/" + "u" * 150_000, "<p>one</p>"), (2, "http://y", "<p>two</p>")], "page_id long, url string, html string")
     path = scratch_path(spark, "warc-long")
