@@ -13,8 +13,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smogmesh.llm.common import written
+
 #: Labelled rows a partition holds in training: every tree level is a job over all of them.
 TRAIN_ROWS = 5_000
+#: Parts that labelled URLs are dealt into for their own statistics.
+FOLDS = 5
+#: Suffixes whose statistics (a few dozen bytes each) may be sent to every task.
+BROADCAST_SUFFIXES = 100_000
 
 FEATURES = (
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "host_digit_ratio",
@@ -86,6 +92,25 @@ def lexical(df: DataFrame) -> DataFrame:
     )
 
 
+def fold_of(url: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("fold"), url), F.lit(FOLDS)).cast("int")
+
+
+def fold_counts(known: DataFrame) -> DataFrame:
+    """``suffix, _fold, _k, _b``: labelled and blocked URLs of each suffix and fold (equal URLs share a fold)."""
+    return known.groupBy("suffix", fold_of(F.col("_url")).alias("_fold")).agg(
+        F.count(F.lit(1)).alias("_k"), F.sum("label").alias("_b")
+    )
+
+
+def out_of_fold(folds: DataFrame) -> DataFrame:
+    """``suffix, _fold, suffix_block``: the smoothed share of blocked labels among the suffix's other folds."""
+    whole = folds.groupBy("suffix").agg(F.sum("_k").alias("_ka"), F.sum("_b").alias("_ba"))
+    both = folds.join(whole, "suffix")
+    share = (F.col("_ba") - F.col("_b") + 1.0) / (F.col("_ka") - F.col("_k") + 2.0)
+    return both.select("suffix", "_fold", share.alias("suffix_block"))
+
+
 def filter_urls(
     pages: DataFrame,
     rules: list[Rule],
@@ -101,7 +126,8 @@ def filter_urls(
     URLs that a rule decides are the labelled ones (a rule's verdict is a
     label given by hand).  The model is fitted on at most ``max_labelled`` of
     them, those with the smallest URL hashes; the suffix statistics cover all
-    of them and all URLs.  ``score`` is the blocking probability (null where a
+    of them and all URLs, but a URL that is learned from sees those of the other
+    folds of labels only.  ``score`` is the blocking probability (null where a
     rule decides).  If the labels hold fewer than two verdicts there is
     nothing to learn and ``default`` is given with a null score.
 
@@ -124,21 +150,26 @@ def filter_urls(
             "label", (F.col("_v") == "block").cast("double")
         )
     # Statistics of every suffix: its share of all URLs and its smoothed share of blocked labels.
-    total = feats.agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("z"))
+    n_all = feats.agg(F.count(F.lit(1)).alias("n")).scalar()
     seen = feats.groupBy("suffix").agg(F.count(F.lit(1)).alias("_n"))
-    marks = known.groupBy("suffix").agg(F.count(F.lit(1)).alias("_k"), F.sum("label").alias("_b"))
-    n_all = total.select("n").scalar()
+    folds = fold_counts(known)
+    marks = folds.groupBy("suffix").agg(F.sum("_k").alias("_k"), F.sum("_b").alias("_b"))
     stats = seen.join(marks, "suffix", "left").select(
         "suffix",
         F.coalesce(F.try_divide(F.col("_n").cast("double"), n_all.cast("double")), F.lit(0.0)).alias("suffix_share"),
         F.coalesce((F.col("_b") + 1.0) / (F.col("_k") + 2.0), F.lit(0.5)).alias("suffix_block"),
     )
-
-    def with_stats(df: DataFrame) -> DataFrame:
-        return df.join(stats, "suffix", "left").na.fill({"suffix_share": 0.0, "suffix_block": 0.5})
+    stats = written(stats, "url-suffixes")
+    # A few suffixes may hold all URLs: no join by suffix as long as their table is small.
+    side = F.broadcast(stats) if stats.count() <= BROADCAST_SUFFIXES else stats
+    fill = {"suffix_share": 0.0, "suffix_block": 0.5}
 
     sample = known.orderBy(F.xxhash64("_url"), "_url").limit(max_labelled)
-    train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_stats(sample))
+    # A URL to learn from sees the labels of the other folds only, never its own.
+    apart = out_of_fold(folds)
+    learn = sample.join(side.drop("suffix_block"), "suffix", "left").withColumn("_fold", fold_of(F.col("_url")))
+    learn = learn.join(apart, ["suffix", "_fold"], "left").na.fill(fill)
+    train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(learn)
     # At most max_labelled rows, whatever the input: a few partitions are enough.
     train = train.select("features", "label").repartition(max(1, max_labelled // TRAIN_ROWS)).persist()
     kinds = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
@@ -152,7 +183,7 @@ def filter_urls(
     model = GBTClassifier(maxIter=10, maxDepth=4, seed=7, subsamplingRate=1.0).fit(train)
     train.unpersist()
     scored = model.transform(
-        VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_stats(feats))
+        VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(feats.join(side, "suffix", "left").na.fill(fill))
     )
     p_block = F.element_at(_to_array("probability"), 2)
     return scored.select(

@@ -8,8 +8,10 @@ import struct
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from smogmesh.llm import fingerprints, mixing
+from smogmesh.llm import fingerprints, mixing, url_filter
+from smogmesh.llm.queries import URL_RULES
 
 DOCS = "doc_id long, text string, rate string, p_good int, next string, fingerprint int"
 
@@ -141,3 +143,43 @@ def test_an_edit_moves_no_anchor_elsewhere(spark):
         found[x["doc_id"]].add((x["pos"], x["hash"]))
     assert {x for x in found[1] if x[0] <= 55} == {x for x in found[2] if x[0] <= 55}
     assert {(p + 2, h) for p, h in found[1] if p >= 60} == {x for x in found[2] if x[0] >= 62}
+
+
+def test_a_url_does_not_see_its_own_label(spark):
+    r = random.Random(2)
+    urls = [f"http://h{i}.{r.choice(('aa', 'bb'))}/x{r.randrange(9)}" for i in range(200)]
+    label = [float(r.random() < 0.4) for _ in urls]
+
+    def known(labels):
+        rows = [(u, u.split("/")[2].split(".")[1], y) for u, y in zip(urls, labels)]
+        return spark.createDataFrame(rows, "_url string, suffix string, label double")
+
+    def shares(labels):
+        df = known(labels)
+        apart = url_filter.out_of_fold(url_filter.fold_counts(df))
+        return {x["_url"]: x["suffix_block"] for x in df.withColumn("_fold", url_filter.fold_of(F.col("_url"))).join(apart, ["suffix", "_fold"]).collect()}
+
+    fold = {x["_url"]: x["f"] for x in known(label).select("_url", url_filter.fold_of(F.col("_url")).alias("f")).collect()}
+    got = shares(label)
+    for u in urls:
+        others = [y for v, y in zip(urls, label) if v.split("/")[2].split(".")[1] == u.split("/")[2].split(".")[1] and fold[v] != fold[u]]
+        assert abs(got[u] - (sum(others) + 1) / (len(others) + 2)) < 1e-12
+    flipped = shares([1 - label[0], *label[1:]])
+    assert flipped[urls[0]] == got[urls[0]] and flipped != got
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_urls_are_judged_by_learned_features(spark, monkeypatch, small):
+    monkeypatch.setattr(url_filter, "BROADCAST_SUFFIXES", small)
+    r = random.Random(7)
+    rows = []
+    for i in range(400):
+        bad = i % 2
+        tail = "".join(r.choice("0123456789") for _ in range(20)) if bad else "page"
+        rows.append((i, f"http://site{i}.{r.choice(('info', 'biz'))}/{tail}" + ("?a=1&b=2&c=3" if bad else ""), "x"))
+    labelled = spark.createDataFrame([(u.replace("site", "known"), "block" if i % 2 else "allow") for i, u, _ in rows], "url string, verdict string")
+    df = spark.createDataFrame([*rows, (900, None, "x"), (3, rows[3][1], "x")], "page_id long, url string, suffix_block string").repartition(4)
+    got = url_filter.filter_urls(df, URL_RULES, labelled=labelled).collect()
+    assert len(got) == 402
+    right = [x["verdict"] == ("block" if x["page_id"] % 2 else "allow") for x in got if x["page_id"] < 900]
+    assert sum(right) >= 0.98 * len(right)
