@@ -38,6 +38,25 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tidily_written(df: DataFrame, name: str) -> DataFrame:
+    """``written``, with the shuffle files of the job deleted when it ends.
+
+    Nothing reads them again once the table is there.  Otherwise an operator of many
+    rounds keeps the shuffles of all of them on the executors' disks until the
+    driver happens to collect its garbage.  The session's own setting is put back.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_SHUFFLES, "false")
+    conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(_CLEAN_SHUFFLES, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

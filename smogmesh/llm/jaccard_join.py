@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import byte_codes, drop_written, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches, written
+from smogmesh.llm.common import byte_codes, drop_written, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches
+from smogmesh.llm.common import tidily_written as written
 from smogmesh.llm.links import smallest_reachable
 
 _SPACE = np.zeros(256, dtype=bool)

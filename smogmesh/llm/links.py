@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import written
+from smogmesh.llm.common import tidily_written as written
 
 
 def smallest_reachable(
