@@ -283,18 +283,19 @@ def components(
     keyed = rows.filter("_id is not null")
     keep = Fraction(percent, 100)
     heavy = heavy_shingles(keyed, k)
-    prof = written(_profiles(rows, k, keep, heavy), "jaccard-profiles")
+    listed = written(_profiles(rows, k, keep, heavy), "jaccard-profiles")
+    prof = written(listed.select("_id", "n", "s1", "s2"), "jaccard-sizes")
 
     # Classes: documents with the same set.  One member stands for all; s1 names the class.
-    full = prof.filter("n > 0 and _id is not null")
-    classes = written(full.groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep")), "jaccard-classes")
+    full = "n > 0 and _id is not null"
+    classes = written(prof.filter(full).groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep")), "jaccard-classes")
     # Of two linked sets, the smaller holds their first common shingle still earlier: a
     # region needs a member that does.
     at, n = F.col("at"), F.col("n")
     early = at <= n - F.ceil(n * (2 * keep.numerator) / (keep.numerator + keep.denominator))
     core = at <= n - F.ceil(n * keep.numerator / keep.denominator)
     flags = F.when(early, 3).when(core, 2).otherwise(0)
-    pivots = full.select("s1", "n", F.posexplode("prefix").alias("at", "r"))
+    pivots = listed.filter(full).select("s1", "n", F.posexplode("prefix").alias("at", "r"))
     shared = written(_shared(pivots.select("r", F.col("s1").bitwiseOR(flags.cast("long")).alias("m"))), "jaccard-shared")
     # A set linked to another has at least so many pivots in common with it, whichever the other's size.
     least = F.floor(F.ceil(n * keep.numerator / keep.denominator) / _EXTRA) + 1
@@ -304,7 +305,7 @@ def components(
     # Sizes of linked sets differ by the factor `keep` at most: they lie in one or in neighbouring rings.
     ring = F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / keep) * 1.01)).cast("long")
     regions = written(_ringed(regions, ring), "jaccard-regions")
-    drop_written(shared)
+    drop_written(listed, shared)
 
     wanted = written(regions.select("m").distinct(), "jaccard-wanted")
     reps = classes.select(F.col("rep").alias("_id"), "s1")
