@@ -28,7 +28,7 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), "")
 
 
 def posteriors(
@@ -41,11 +41,9 @@ def posteriors(
     smallest hashes of their id.  With fewer than two domains among them, all
     documents get the labelled domains' shares (even shares without labels).
     """
-    base = docs.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        _words(F.col("text").cast("string")).alias("words"),
-    )
+    words = _words(F.col("text").cast("string")).alias("words")
+    key = F.col("doc_id").cast("long").alias("doc_id")
+    base = docs.select(F.monotonically_increasing_id().alias("_row"), key, words)
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of(F.col("quality"), F.col("toxic")).alias("label"))
         .filter("label is not null and doc_id is not null")
@@ -56,7 +54,9 @@ def posteriors(
     sample = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=features)
     unit = Normalizer(inputCol="tf", outputCol="features", p=2.0)
-    train = unit.transform(tf.transform(base.join(F.broadcast(sample), "doc_id"))).select("label", "features").persist()
+    # Texts meet the sample before they are cut into words.
+    marked = docs.select(key, "text").join(F.broadcast(sample), "doc_id").select("label", words)
+    train = unit.transform(tf.transform(marked)).select("label", "features").persist()
     seen = {int(r["label"]): r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = len(DOMAINS)
     if len(seen) < 2:
@@ -67,9 +67,9 @@ def posteriors(
     model = LogisticRegression(family="multinomial", maxIter=30, regParam=1e-3).fit(train)
     train.unpersist()
     scored = model.transform(unit.transform(tf.transform(base)))
-    p = vector_to_array("probability")
-    # Classes are numbered from 0; a domain above the last seen one has no weight.
-    p = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda d: F.coalesce(F.get(p, d), F.lit(0.0)))
+    # Classes are numbered from 0; a domain above the last seen one has no weight.  The vector is named
+    # once: inside a function of the domain, hashing and model would run again for each domain.
+    p = F.concat(vector_to_array("probability"), F.array_repeat(F.lit(0.0), n - model.numClasses))
     return scored.select("_row", "doc_id", F.size("words").cast("long").alias("n_tokens"), p.alias("p"))
 
 

@@ -69,6 +69,16 @@ def test_rates_of_empty_and_unlabelled_tables(corpus):
     assert all(abs(x["rate"] - 1) < 1e-6 for x in got)
 
 
+def test_posteriors_run_the_model_once_per_row(corpus):
+    docs, labels = corpus
+    found = mixing.posteriors(docs, labels)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF(" in plan and "lambda" not in plan
+    assert all(len(r["p"]) == len(mixing.DOMAINS) and abs(sum(r["p"]) - 1) < 1e-9 for r in found.collect())
+    two = mixing.posteriors(docs, labels.filter("toxic = 0")).collect()
+    assert all(len(r["p"]) == len(mixing.DOMAINS) and r["p"][2] == 0 for r in two)
+
+
 def xx(data: bytes, seed: int) -> int:
     return xxhash.xxh64_intdigest(data, seed)
 
