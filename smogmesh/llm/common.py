@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +43,27 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
 _CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def tidily_written(df: DataFrame, name: str) -> DataFrame:
-    """``written``, with the shuffle files of the job deleted when it ends.
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a job's shuffle files are deleted when the job ends.
 
-    Nothing reads them again once the table is there.  Otherwise an operator of many
-    rounds keeps the shuffles of all of them on the executors' disks until the
-    driver happens to collect its garbage.  The session's own setting is put back.
+    For jobs that write a table: nothing reads the shuffles again once it is there.
+    Otherwise an operator of many rounds keeps those of all of them on the
+    executors' disks until the driver happens to collect its garbage.  The
+    session's own setting is put back.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEAN_SHUFFLES, "false")
-    conf.set(_CLEAN_SHUFFLES, "true")
+    before = spark.conf.get(_CLEAN_SHUFFLES, "false")
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
     try:
-        return written(df, name)
+        yield
     finally:
-        conf.set(_CLEAN_SHUFFLES, before)
+        spark.conf.set(_CLEAN_SHUFFLES, before)
+
+
+def tidily_written(df: DataFrame, name: str) -> DataFrame:
+    """``written``, with the shuffle files of the job deleted when it ends."""
+    with shuffles_removed(df.sparkSession):
+        return written(df, name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

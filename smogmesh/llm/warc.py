@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import written
+from smogmesh.llm.common import drop_written, shuffles_removed
+from smogmesh.llm.common import tidily_written as written
 
 MAGIC = "WARC/1.1\r\n"
 _END = "\r\n\r\n"
-#: Digests of repeated payloads (some 60 bytes each) that may be sent to every task.
+#: Digests of repeated payloads, or places of torn records and of the false magic strings in
+#: them (some 60 to 200 bytes each), that may be sent to every task.
 BROADCAST_ROWS = 250_000
 
 
@@ -91,7 +93,8 @@ def write_archives(pages: DataFrame, path: str, *, key: str = "page_id", payload
         F.lit("\r\n"),
     )
     rows = rows.withColumn("_block", block)
-    rows.select(F.concat(head, F.col("_block")).alias("value")).write.option("lineSep", _END).text(path)
+    with shuffles_removed(pages.sparkSession):
+        rows.select(F.concat(head, F.col("_block")).alias("value")).write.option("lineSep", _END).text(path)
 
 
 # -- reading ---------------------------------------------------------------------
@@ -194,31 +197,36 @@ def chain(found: DataFrame) -> DataFrame:
         ahead = known.join(jump, ["file", "off"]).select("file", F.col("to").alias("off"))
         ahead = written(ahead.join(found.select("file", "off"), ["file", "off"], "left_semi"), "warc-ahead")
         if ahead.isEmpty():
+            drop_written(jump)
             return known
-        known = written(known.unionByName(ahead), "warc-known")
+        before, known = known, written(known.unionByName(ahead), "warc-known")
+        drop_written(before, ahead)
         hop = jump.select("file", F.col("off").alias("to"), F.col("to").alias("to2"))
-        jump = written(jump.join(hop, ["file", "to"]).select("file", "off", F.col("to2").alias("to")), "warc-jump")
+        before, jump = jump, written(jump.join(hop, ["file", "to"]).select("file", "off", F.col("to2").alias("to")), "warc-jump")
+        drop_written(before)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The verified records: ``file, off, headers map, payload binary`` (payload null for revisits).
 
     A payload that holds the magic string was cut into several chunks; they
-    are put together again, in order, for that record only.
+    are put together again, in order, for that record only.  All other chunks
+    are records as they stand: their bodies are not shuffled as long as the
+    table of the cut ones is small.
     """
     starts = written(_block_starts(_chunks(spark, path)), "warc-starts")
     found = written(candidates(spark, path, starts), "warc-candidates")
-    true = written(chain(found).withColumn("real", F.lit(True)), "warc-chain")
+    true = chain(found)
     # The record that each chunk belongs to: the last real one at or before it.
     # Only chunks after a false magic string need it; all others are records.
     fake = found.join(true, ["file", "off"], "left_anti").select("file", "off")
     spans = found.join(true, ["file", "off"]).select("file", F.col("off").alias("rec"), "next", "size")
     # A real record whose own chunk is shorter than announced goes on behind false magic strings.
     torn = spans.filter(F.col("next") - F.col("rec") - len(MAGIC) > F.col("size")).select("file", "rec", "next")
-    parts = _owners(fake, torn)
-    owner = written(
-        true.select("file", "off", F.col("off").alias("rec")).unionByName(parts.select("file", "off", "rec")), "warc-owner"
-    )
+    parts = fake.join(_owners(fake, torn), ["file", "off"], "left")
+    cut = written(torn.select("file", F.col("rec").alias("off"), "rec").unionByName(parts), "warc-cut")
+    n_cut = cut.count()
+    drop_written(found, true)
 
     def place(rows):
         out: dict[str, list] = {"file": [], "block": [], "rel": [], "value": []}
@@ -235,16 +243,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("rel", pa.int64()), ("value", pa.binary())])
     placed = _chunks(spark, path).mapInArrow(place, "file string, block long, rel long, value binary")
     placed = placed.join(starts, ["file", "block"]).select("file", (F.col("rel") + F.col("start")).alias("off"), "value")
-    whole = placed.join(owner.filter("off = rec"), ["file", "off"]).select("file", "off", "value")
-    extra = (
-        placed.join(owner.filter("off <> rec"), ["file", "off"])
-        .groupBy("file", F.col("rec").alias("off"))
-        .agg(F.array_sort(F.collect_list(F.struct("off", "value"))).alias("more"))
-    )
-    torn_records = whole.join(extra, ["file", "off"]).select("file", "off", "value", "more.value")
-    torn_records = torn_records.toDF("file", "off", "value", "more")
-    clean = whole.join(torn.select("file", F.col("rec").alias("off")), ["file", "off"], "left_anti")
-    rows = clean.withColumn("more", F.lit(None).cast("array<binary>")).unionByName(torn_records)
+    rows = placed.filter("off >= 0").withColumn("more", F.lit(None).cast("array<binary>"))
+    if n_cut:
+        known = F.broadcast(cut) if n_cut <= BROADCAST_ROWS else cut
+        pieces = (
+            placed.join(known.filter("rec is not null"), ["file", "off"])
+            .groupBy("file", F.col("rec").alias("off"))
+            .agg(F.array_sort(F.collect_list(F.struct("off", "value"))).alias("all"))
+            .filter(F.size("all") > 1)
+            .select("file", "off", F.col("all.value").alias("all"))
+        )
+        torn_records = pieces.select("file", "off", F.get("all", 0).alias("value"), F.slice("all", 2, F.size("all") - 1).alias("more"))
+        rows = rows.join(known, ["file", "off"], "left_anti").unionByName(torn_records)
 
     def parse(batches):
         out_schema = pa.schema(

@@ -330,3 +330,21 @@ def test_mixing_meets_targets(spark, empty):
     assert (got["rate"] >= 0).all() and len(got) == 91
     assert mixing.mix(empty, lab, {"good": 1.0}).count() == 0
     assert mixing.mix(df, lab.filter("doc_id < 0"), {"good": 1.0}).count() == 91
+
+
+@pytest.mark.parametrize("rows", [250_000, 0])
+def test_warc_bodies_are_shuffled_only_for_torn_records(spark, monkeypatch, rows):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", rows)
+    whole = [(i, "u", f"body {i}") for i in range(30)]
+    torn = [(100, "u", "a WARC/1.1\r\nContent-Length: 2\r\n\r\nb WARC/1.1\r\n c"), (101, "u", "WARC/1.1\r\n" * 3)]
+    for pages in (whole, whole + torn):
+        df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+        path = scratch_path(spark, "warc-torn")
+        warc.write_archives(df, path)
+        found = warc.read_records(spark, path)
+        got = {int(r["headers"]["warc-record-id"][10:-1]): bytes(r["payload"]).decode() for r in found.collect()}
+        assert got == {i: h for i, _, h in pages} and found.count() == len(pages)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        shuffled = [line for line in plan.splitlines() if "Aggregate" in line and "collect_list" in line or "Join LeftAnti" in line]
+        assert bool(shuffled) == (len(pages) > len(whole))
+        assert ("Join Inner" in plan) and ("rightHint=(strategy=broadcast)" in plan) == (len(pages) > len(whole) and rows > 0)
