@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +24,7 @@ from smogmesh.operators.clean import drop_missing
 from smogmesh.operators.ridge import Ridge, fit_ridge
 from smogmesh.schema import FEATURES
 
+CATEGORIES = ("line", "city")
 MODEL_NAMES = ("linear_regression", "decision_tree", "random_forest")
 
 
@@ -78,11 +79,21 @@ def split_sizes(df: DataFrame, *, train_share: float = 0.8, seed: int = 42) -> D
     )
 
 
-def feature_stages():
-    line = StringIndexer(inputCol="line", outputCol="line_indexed", handleInvalid="keep")
-    city = StringIndexer(inputCol="city", outputCol="city_indexed", handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")
-    return [line, city, assembler]
+def feature_stages(rows: DataFrame) -> PipelineModel:
+    """Indexers of the categories of ``rows`` and the assembler.
+
+    All columns are counted in one pass over the rows: an indexer fitted by
+    itself would run the plan of the rows, dedupe included, once per column.
+    Labels are ordered as ``StringIndexer`` does: most frequent first, ties by value.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in CATEGORIES]
+    found = rows.select(F.inline(F.array(*pairs))).filter("value is not null")
+    counts = found.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+    stages = []
+    for c in CATEGORIES:
+        own = sorted((-r["n"], r["value"]) for r in counts if r["column"] == c)
+        stages.append(StringIndexerModel.from_labels([v for _, v in own], c, f"{c}_indexed", "keep"))
+    return PipelineModel([*stages, VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")])
 
 
 def regressors(*, max_bins: int = 32, seed: int = 42) -> dict:
@@ -109,7 +120,7 @@ class Fitted:
 def assembled(rows: DataFrame, *, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Prepared rows with ``is_train``, indexed categories and the feature vector; the stages are fitted on the train rows."""
     rows = tagged(rows, seed=seed)
-    features = Pipeline(stages=feature_stages()).fit(rows.filter("is_train"))
+    features = feature_stages(rows.filter("is_train"))
     return features, features.transform(rows)
 
 

@@ -138,3 +138,23 @@ def test_each_row_meets_one_leaf_of_a_tree(spark, fitted):
 
     for r in rows[:200]:
         assert sum(all(holds(r, c) for c in x["conditions"]) for x in leaves) == 1
+
+
+def test_categories_are_counted_in_one_pass_as_string_indexers_do(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = [("b", "x"), ("a", "x"), (None, "y"), ("c", None), ("c", "\U0001F600"), ("c", "\uFF5E"), ("", "y")]
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "line string, city string").mapInArrow(note, "line string, city string")
+    model = rg.feature_stages(df)
+    assert seen.value == len(rows)
+    for s in model.stages[:2]:
+        want = StringIndexer(inputCol=s.getInputCol(), handleInvalid="keep").fit(df)
+        assert list(s.labels) == list(want.labels) and s.getHandleInvalid() == "keep"
+    assert [list(s.labels) for s in rg.feature_stages(df.filter("line = 'z'")).stages[:2]] == [[], []]
