@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -66,6 +68,28 @@ def tidily_written(df: DataFrame, name: str) -> DataFrame:
         return written(df, name)
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What tasks of the operator ``owner`` keep for one another in a worker process.
+
+    Spark hands a process on from one operator's tasks to another's.  What others
+    kept (tokenizers and their units: some 200 MB) is dropped, and its memory
+    given back to the system where the C library can.
+    """
+    others = [name for name in _KEPT if name != owner]
+    if others:
+        for name in others:
+            del _KEPT[name]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return _KEPT.setdefault(owner, {})
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import mix64, text_batches
+from smogmesh.llm.common import kept, mix64, text_batches
 
 UNKNOWN = "und"
 _LETTERS: list[np.ndarray] = []
@@ -143,6 +143,7 @@ def fit_filters(
     sample = rows.filter(F.pmod(F.xxhash64(F.lit("language"), "_key"), F.lit(scale)) < cut[F.col("_lang")])
 
     def count(batches: Iterator[pa.RecordBatch]):
+        kept("language")
         for batch in batches:
             langs = np.array(batch.column("_lang").to_pylist(), dtype=object)
             for lo, hi in text_batches(batch, "_text", 1 << 20):
@@ -193,6 +194,7 @@ def identify(docs: DataFrame, filters: Filters, *, text: str = "text") -> DataFr
     shared = spark.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        kept("language")
         f = shared.value
         for batch in batches:
             for lo, hi in text_batches(batch, text, 1 << 20):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogmesh.llm.common import text_batches, written
+from smogmesh.llm.common import kept, text_batches, written
 from smogmesh.llm.units import Store, Units, after_letter, joined
 
 #: Units kept per worker process.
@@ -74,16 +74,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(tokenizer_file: str) -> Encoder:
-    if tokenizer_file not in _ENCODERS:
+    encoders = kept("packing")
+    if tokenizer_file not in encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
-    return _ENCODERS[tokenizer_file]
+        encoders[tokenizer_file] = Encoder(tokenizer_file)
+    return encoders[tokenizer_file]
 
 
 def _crc(ids: np.ndarray) -> int:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -348,3 +349,17 @@ def test_warc_bodies_are_shuffled_only_for_torn_records(spark, monkeypatch, rows
         shuffled = [line for line in plan.splitlines() if "Aggregate" in line and "collect_list" in line or "Join LeftAnti" in line]
         assert bool(shuffled) == (len(pages) > len(whole))
         assert ("Join Inner" in plan) and ("rightHint=(strategy=broadcast)" in plan) == (len(pages) > len(whole) and rows > 0)
+
+
+def test_language_tasks_drop_what_packing_kept_in_their_process(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "some words", "en"), (2, "quelques mots", "fr")], "doc_id long, text string, lang string")
+    tasks, real = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **k: tasks.append(f) or real(self, f, *a, **k))
+    language_id.identify(df, language_id.fit_filters(df))
+    assert len(tasks) == 2
+    f = public_tokenizers.path("word_bpe_49k.json")
+    for task in tasks:
+        held = weakref.ref(packing.encoder(f))
+        assert packing.encoder(f) is held()
+        list(task(iter([])))
+        assert held() is None
