@@ -8,9 +8,11 @@ shingles (rare ones first) breaks the ties.  Two sets within the radius differ
 in so few shingles that each one's first ``n - ceil(t n) + 1`` pivots must hold a
 common one; a document is replicated to just these regions (its window).
 
-Within a region, documents are the pivots: every member's exact distance to
-the region's pivot is found, members within the radius link to it, and the
-region splits into rings by that distance.  By the triangle inequality a pair
+Within a region, documents are the pivots: the member with the smallest hash
+leads it, and regions that one document leads are joined as one.  A small region is
+compared in one task, and members that are connected already are passed over.
+In a larger one every member's exact distance to the lead is found and it
+splits into rings by that distance.  By the triangle inequality a pair
 within the radius lies in the same or in adjacent rings, so members are
 replicated to one ring more, and the rings join recursively.  A region whose
 members are all connected already is done, which is what keeps a group of
@@ -79,6 +81,10 @@ def shingle_hashes(rows: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
 
 #: Pivots beyond the first ones needed: one for so many shingles.
 _EXTRA = 20
+#: A set counts as one group member for so many shingles.
+_UNIT = 3_000
+#: Levels of rings; members of regions that these leave large and unconnected meet in blocks.
+_ROUNDS = 4
 #: Class numbers leave the two lowest bits free, for flags of a pivot.
 _CLASS = -4
 
@@ -189,26 +195,55 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("_text").mapInArrow(run, "m long, items binary")
 
 
-def _measured(pairs: DataFrame) -> DataFrame:
-    """``p, m, inter, total`` (union size) of pairs with both sets at hand."""
+def _linked(groups: DataFrame, keep: Fraction) -> DataFrame:
+    """``r, m, other, n, ring``: what the members of each group ``r, i, j`` are to each other.
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            inter, total = [], []
-            for x, y in zip(a, b):
-                u, v = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = np.concatenate([u, v])
-                both.sort(kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                inter.append(same)
-                total.append(len(u) + len(v) - same)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("p"), batch.column("m"), pa.array(inter, pa.int64()), pa.array(total, pa.int64())],
-                names=["p", "m", "inter", "total"],
-            )
-
-    return pairs.mapInArrow(run, "p long, m long, inter long, total long")
+    Rows with ``other`` are links, enough of them to connect what the group's links
+    connect; members of one component ``comp`` are not compared.  Where a group has its
+    region's ``lead``, every other member also gives its size ``n`` and its ring about it.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("r", "m", "other", "n", "ring")])
+
+    def run(rows: pa.Table) -> pa.Table:
+        m, lead = rows.column("m").to_numpy(), rows.column("lead").to_numpy()
+        _, comp, count = np.unique(rows.column("comp").to_numpy(), return_inverse=True, return_counts=True)
+        # The lead first, the largest component last: its members need not be looked up.
+        order = np.lexsort((m, comp, count[comp], ~lead))
+        m, comp, lead = m[order], comp[order], lead[order]
+        sets = rows.column("items").take(pa.array(order)).to_pylist()
+        n = np.array([len(x) // 8 for x in sets], dtype=np.int64)
+        ends = np.cumsum(n)
+        starts = ends - n
+        values, items = np.unique(np.frombuffer(b"".join(sets), dtype=np.uint64), return_inverse=True)
+        own = np.zeros(len(values), dtype=np.int32)
+        found, ring = [], None
+        for i in range(len(m) - 1):
+            unlike = comp[i + 1 :] != comp[i]
+            if not (lead[i] or unlike.any()):
+                continue
+            mine = items[starts[i] : ends[i]]
+            own[mine] = 1
+            same = np.add.reduceat(own[items[ends[i] :]], starts[i + 1 :] - ends[i], dtype=np.int64)
+            own[mine] = 0
+            total = n[i] + n[i + 1 :] - same
+            if lead[i]:
+                # floor(distance / radius) in whole numbers; the radius is 1 - keep.
+                ring = (total - same) * keep.denominator // (total * (keep.denominator - keep.numerator))
+            near = i + 1 + np.flatnonzero(unlike & (same * keep.denominator >= total * keep.numerator))
+            met, at = np.unique(comp[near], return_index=True)
+            found += [(m[i], x) for x in m[near[at]]]
+            comp[np.isin(comp, met)] = comp[i]
+        k, rest = len(found), 0 if ring is None else len(ring)
+        r = np.full(k + rest, rows.column("r")[0].as_py(), dtype=np.int64)
+        a, b = np.array(found, dtype=np.int64).reshape(k, 2).T
+        if ring is None:
+            return pa.table([pa.array(r), pa.array(a), pa.array(b), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
+        link = np.arange(k + rest) < k
+        parts = [np.concatenate([a, m[1:]]), np.concatenate([b, m[1:]]), np.concatenate([a, n[1:]]), np.concatenate([a, ring])]
+        masks = [None, ~link, link, link]
+        return pa.table([pa.array(r), *[pa.array(x, mask=y) for x, y in zip(parts, masks)]], schema=schema)
+
+    return groups.groupBy("r", "i", "j").applyInArrow(run, "r long, m long, other long, n long, ring long")
 
 
 def _shared(pivots: DataFrame) -> DataFrame:
@@ -261,13 +296,63 @@ def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
     without a member of their own, or with one alone, are done.
     """
     places = F.array(*[F.struct((ring + i).alias("g"), F.lit(1 - i).alias("home")) for i in (0, 1)])
-    split = regions.select("r", "m", F.explode(places).alias("z")).select(F.xxhash64("r", "z.g").alias("r"), "m", "z.home")
+    split = regions.select("r", "m", "n", F.explode(places).alias("z")).select(F.xxhash64("r", "z.g").alias("r"), "m", "n", "z.home")
     alive = split.groupBy("r").agg(F.sum("home").alias("h"), F.count(F.lit(1)).alias("c")).filter("h > 0 and c > 1")
-    return split.join(alive.select("r"), "r").select("r", "m")
+    return split.join(alive.select("r"), "r").select("r", "m", "n")
+
+
+def _led(regions: DataFrame, label: DataFrame, level: int) -> DataFrame:
+    """``r, m, n, comp``: members of the regions that are not connected yet; ``r`` is the region's lead.
+
+    The lead is the member with the smallest hash.  Regions with one lead become one
+    region: near copies share some dozens of pivots, and their regions, which hold
+    nearly the same members, mostly have the same lead.
+    """
+    state = regions.join(label, "m")
+    order = F.struct(F.xxhash64(F.lit(level), "m").alias("o"), F.col("m").alias("p"))
+    lead = state.groupBy("r").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(order).alias("x"))
+    lead = lead.filter("lo < hi").select("r", F.col("x.p").alias("p"))
+    return state.join(lead, "r").select(F.col("p").alias("r"), "m", "n", "comp").distinct()
+
+
+def _grouped(state: DataFrame, group: int, level: int) -> DataFrame:
+    """``r, i, j, m, comp, lead``: the members of each region in groups that a task compares.
+
+    A region of up to ``group`` members is one group.  Of a larger one of which few
+    are outside its largest component, all pairs but those inside that component meet:
+    its members are dealt to blocks, and blocks of the others meet every block.  A region
+    with many others is first dealt to parts, each with the lead, which gives the
+    rings; what these connect need not meet again.  Long sets count as several members.
+    """
+    weight = F.ceil(F.col("n") / _UNIT)
+    by = state.groupBy("r", "comp").agg(F.sum(weight).alias("w"))
+    kinds = by.groupBy("r").agg(F.sum("w").alias("w"), F.max(F.struct("w", "comp")).alias("x"))
+    few = F.lit(True) if level >= _ROUNDS else F.col("w") - F.col("x.w") <= 2 * group
+    kinds = kinds.select(
+        "r", F.col("x.comp").alias("big"), (F.col("w") <= group).alias("whole"), few.alias("few"),
+        F.ceil(F.col("w") / group).alias("parts"), F.ceil(2 * (F.col("w") - F.col("x.w")) / group).alias("others"),
+        F.ceil(2 * F.col("x.w") / group).alias("most"),
+    )
+    h = F.xxhash64(F.lit(level), F.lit("block"), "m")
+    place = (
+        F.when(~F.col("few"), F.pmod(h, "parts"))
+        .when(F.col("comp") == F.col("big"), F.col("others") + F.pmod(h, "most"))
+        .otherwise(F.pmod(h, "others"))
+    )
+    met = F.expr("sequence(0L, if(comp = big, others, others + most) - 1)")
+    groups = (
+        F.when(F.col("whole"), F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))))
+        .when(F.col("few"), F.transform(met, lambda y: F.struct(F.least("at", y).alias("i"), F.greatest("at", y).alias("j"))))
+        .when(F.col("lead"), F.transform(F.expr("sequence(0L, parts - 1)"), lambda y: F.struct(y.alias("i"), y.alias("j"))))
+        .otherwise(F.array(F.struct(F.col("at").alias("i"), F.col("at").alias("j"))))
+    )
+    lead = (F.col("m") == F.col("r")) & ~F.col("whole") & ~F.col("few")
+    dealt = state.join(kinds, "r").withColumn("at", place).withColumn("lead", lead)
+    return dealt.select("r", F.explode(groups).alias("z"), "m", "comp", "lead").select("r", "z.i", "z.j", "m", "comp", "lead")
 
 
 def components(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, slots: int = 1024
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, group: int = 512
 ) -> DataFrame:
     """``key, n_shingles, class_id, component_id`` of every row of ``docs``.
 
@@ -309,7 +394,8 @@ def components(
 
     wanted = written(regions.select("m").distinct(), "jaccard-wanted")
     reps = classes.select(F.col("rep").alias("_id"), "s1")
-    chosen_ids = reps.join(wanted, F.col("s1") == F.col("m"), "left_semi").select("_id").distinct()
+    # Written, so that its size is known: texts are shuffled only if the list is too long to broadcast.
+    chosen_ids = written(reps.join(wanted, F.col("s1") == F.col("m"), "left_semi").select("_id").distinct(), "jaccard-ids")
     texts = keyed.join(chosen_ids, "_id", "left_semi")
     sets = written(_sets(texts, k), "jaccard-sets")
     rows_of = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("m").alias("d")).first()
@@ -321,45 +407,23 @@ def components(
     label = wanted.withColumn("comp", F.col("m"))
     level = 0
     while True:
-        # What is not connected yet, and the pivots: one per slot, the same choice in all regions.
-        state = regions.join(label, "m")
-        open_ = state.groupBy("r").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("r")
-        state = written(state.join(open_, "r"), "jaccard-open")
+        state = written(_led(regions, label, level), "jaccard-open")
         drop_written(regions)
         if state.isEmpty():
             break
-        # Members of unlike components go to unlike slots; a level has sixteen times the last one's slots.
-        n_slots = min(slots, 16**level)
-        slot = F.pmod(F.xxhash64(F.lit(level), "comp"), F.lit(n_slots))
-        order = F.struct(F.xxhash64(F.lit(level), "m").alias("o"), F.col("m").alias("p"), F.col("comp").alias("pc"))
-        chosen = state.groupBy("r", slot.alias("slot")).agg(F.min(order).alias("x"))
-        chosen = written(chosen.select("r", "x.o", "x.p", "x.pc"), "jaccard-pivots")
-        # The lead pivot's distances split the region into rings; the others only link components.
-        lead = chosen.groupBy("r").agg(F.min(F.struct("o", "p")).alias("x")).select("r", F.col("x.p").alias("lead"))
-        near = state.join(chosen.join(lead, "r"), "r").filter("m <> p and (p = lead or comp <> pc)")
-        todo = near.select("p", "m").distinct()
-        a = sets.select(F.col("m").alias("p"), F.col("items").alias("a"))
-        b = sets.select("m", F.col("items").alias("b"))
-        found = written(_measured(todo.join(a, "p").join(b, "m").select("p", "m", "a", "b")), "jaccard-measured")
-        close = found.filter(F.col("inter") * keep.denominator >= F.col("total") * keep.numerator).select("p", "m")
-        close = written(close, "jaccard-links")
+        groups = written(_grouped(state, group, level), "jaccard-groups")
+        drop_written(state)
+        found = written(_linked(groups.join(sets, "m"), keep), "jaccard-linked")
+        drop_written(groups)
+        close = written(found.filter("other is not null").select(F.col("m").alias("p"), F.col("other").alias("m")), "jaccard-links")
         links = close if links is None else links.unionByName(close)
         known, label = label, written(smallest_reachable(wanted, links, node="m", a="p", b="m", label="comp"), "jaccard-labels")
         if level:
             drop_written(known)
-
-        # Next level: without the pivots, in rings of the radius by distance to the lead.
-        rest = state.drop("comp").join(chosen.select("r", F.col("p").alias("m")), ["r", "m"], "left_anti").join(lead, "r")
-        dist = found.select(F.col("p").alias("lead"), "m", "inter", "total")
-        rest = rest.join(dist, ["lead", "m"])
-        # ring = floor(distance / radius) in whole numbers; the radius is 1 - keep.
-        num = (F.col("total") - F.col("inter")) * keep.denominator
-        den = F.col("total") * (keep.denominator - keep.numerator)
-        ring = ((num - num % den) / den).cast("long")
-        regions = written(_ringed(rest, ring), "jaccard-regions")
-        members = regions.select("m").distinct()
-        before, sets = sets, written(sets.join(members, "m", "left_semi"), "jaccard-sets")
-        drop_written(before, state, chosen, found)
+        # Next level: without the leads, in rings of the radius by distance to them.
+        rest = found.filter("ring is not null")
+        regions = written(_ringed(rest.select("r", "m", "n", "ring"), F.col("ring")), "jaccard-regions")
+        drop_written(found)
         level += 1
 
     named = classes.join(label.select(F.col("m").alias("s1"), "comp"), "s1", "left")

@@ -363,3 +363,65 @@ def test_language_tasks_drop_what_packing_kept_in_their_process(spark, monkeypat
         assert packing.encoder(f) is held()
         list(task(iter([])))
         assert held() is None
+
+
+def _near_copies(n, seed=5):
+    """Copies of a few texts with some words changed, near the radius: few pairs of a text's copies link."""
+    r = random.Random(seed)
+    bases = [[f"b{b}w{i}" for i in range(120)] for b in range(2)]
+    rows = []
+    for i in range(n):
+        words = list(bases[i % 2])
+        for at in r.sample(range(24), r.randrange(1, 4)) if i % 3 else r.sample(range(120), r.randrange(2, 7)):
+            words[at] = f"x{r.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def _linked_components(rows):
+    words = {i: t.split() for i, t in rows}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in words.items()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sets:
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if 100 * same >= 80 * (len(sets[i]) + len(sets[j]) - same):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("group, unit, rounds", [(8, 3_000, 4), (24, 50, 0)])
+def test_jaccard_large_regions_equal_brute_force(spark, monkeypatch, group, unit, rounds):
+    """Parts with rings, blocks and single groups find the same components."""
+    monkeypatch.setattr(jaccard_join, "_UNIT", unit)
+    monkeypatch.setattr(jaccard_join, "_ROUNDS", rounds)
+    rows = _near_copies(140)
+    want = _linked_components(rows)
+    assert 3 < len(set(want.values())) < 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {x["doc_id"]: x["component_id"] for x in jaccard_join.components(df, group=group).collect()} == want
+
+
+def test_jaccard_near_copies_meet_in_few_regions(spark, monkeypatch):
+    """Near copies share dozens of pivots; what is kept of their regions grows with the copies alone."""
+    kept, real = [], jaccard_join.written
+
+    def written(df, name, **options):
+        out = real(df, name, **options)
+        if name == "jaccard-open":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    rows = _near_copies(100)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.components(df).collect()}
+    assert got == _linked_components(rows)
+    assert 0 < max(kept) <= 8 * len(rows)
