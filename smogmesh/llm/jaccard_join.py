@@ -27,7 +27,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogmesh.llm.common import byte_codes, drop_written, mix64, prefix_sums, shuffle_partitions, signed, span_hash, text_batches
@@ -129,8 +129,6 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]):
         late = shared.value
-        by_hash = np.argsort(late)
-        sorted_late = late[by_hash]
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for lo, hi in text_batches(batch, "_text", 1 << 20):
@@ -143,12 +141,7 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
                 np.cumsum(mix64(h + np.uint64(1)), out=s1[1:])
                 np.cumsum(mix64(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=s2[1:])
                 g = signed(h)
-                rank = np.full(len(g), -1, dtype=np.int64)
-                if len(late):
-                    at = np.minimum(np.searchsorted(sorted_late, g), len(late) - 1)
-                    hit = sorted_late[at] == g
-                    rank[hit] = by_hash[at[hit]]
-                order = np.lexsort((g, rank, r))
+                order = np.lexsort((g, _ranks(g, late), r))
                 # ceil(keep * n) shared shingles at least: the first n - that + x must hold x of them.
                 length = np.where(n > 0, n - -(-(keep.numerator * n) // keep.denominator) + 1 + n // _EXTRA, 0)
                 first, second = signed(s1[ends] - s1[ends - n]) & _CLASS, signed(s2[ends] - s2[ends - n])
@@ -177,22 +170,61 @@ def _profiles(docs: DataFrame, k: int, keep: Fraction, heavy: np.ndarray) -> Dat
     return docs.mapInArrow(run, "_id long, n long, s1 long, s2 long, prefix array<long>")
 
 
+def _bits(h: np.ndarray) -> bytes:
+    """A bitmap of a set: shingle ``x`` sets bit ``x % size``, the size a power of two from the set's."""
+    size = max(64, 1 << (len(h) - 1).bit_length()) if len(h) else 64
+    marks = np.zeros(size, dtype=bool)
+    marks[(h & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """``m, items``: each row's set identity and its whole shingle set, sorted, as 64-bit numbers."""
+    """``m, n, bits, items``: each row's set identity, size, bitmap and whole shingle set, sorted, as 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for lo, hi in text_batches(batch, "_text", 1 << 20):
                 r, h = shingle_hashes(_texts(batch, lo, hi), k)
-                ends = np.cumsum(np.bincount(r, minlength=hi - lo))
-                cuts = np.concatenate([[0], ends])
+                n = np.bincount(r, minlength=hi - lo)
+                cuts = np.concatenate([[0], np.cumsum(n)])
                 s1 = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix64(h + np.uint64(1)), dtype=np.uint64)])
-                items = [h[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+                own = [h[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(s1[cuts[1:]] - s1[cuts[:-1]]) & _CLASS), pa.array(items, pa.binary())], names=["m", "items"]
+                    [
+                        pa.array(signed(s1[cuts[1:]] - s1[cuts[:-1]]) & _CLASS), pa.array(n.astype(np.int64)),
+                        pa.array([_bits(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary()),
+                    ],
+                    names=["m", "n", "bits", "items"],
                 )
 
-    return docs.select("_text").mapInArrow(run, "m long, items binary")
+    return docs.select("_text").mapInArrow(run, "m long, n long, bits binary, items binary")
+
+
+def _alike(groups: DataFrame, keep: Fraction) -> DataFrame:
+    """``r, i, j, m, comp, lead``: members that may link to another of their group, by their bitmaps.
+
+    Two sets differ in at least as many shingles as their bitmaps do in bits, so no
+    link is lost, and whole sets are sent for few others.  Groups with a lead stay whole.
+    """
+    names = ["r", "i", "j", "m", "comp", "lead"]
+
+    def run(rows: pa.Table) -> pa.Table:
+        lead, comp, n = (rows.column(c).to_numpy() for c in ("lead", "comp", "n"))
+        if lead.any():
+            return rows.select(names)
+        bits = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("bits").to_pylist()]
+        size = min(map(len, bits))
+        folded = np.stack([np.bitwise_or.reduce(x.reshape(-1, size)) for x in bits])
+        wanted = np.zeros(len(bits), dtype=bool)
+        for i in range(len(bits) - 1):
+            apart = np.bitwise_count(folded[i + 1 :] ^ folded[i]).sum(axis=1, dtype=np.int64)
+            most = (n[i] + n[i + 1 :]) * (keep.denominator - keep.numerator)
+            near = (comp[i + 1 :] != comp[i]) & (apart * (keep.denominator + keep.numerator) <= most)
+            wanted[i] |= near.any()
+            wanted[i + 1 :] |= near
+        return rows.select(names).filter(pa.array(wanted))
+
+    return groups.groupBy("r", "i", "j").applyInArrow(run, "r long, i long, j long, m long, comp long, lead boolean")
 
 
 def _linked(groups: DataFrame, keep: Fraction) -> DataFrame:
@@ -246,8 +278,20 @@ def _linked(groups: DataFrame, keep: Fraction) -> DataFrame:
     return groups.groupBy("r", "i", "j").applyInArrow(run, "r long, m long, other long, n long, ring long")
 
 
-def _shared(pivots: DataFrame) -> DataFrame:
-    """``r, m, open``: the distinct pivots ``r`` that at least two classes list.
+def _ranks(g: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """Place of each shingle in the order of pivots: that in ``late``, else -1; equal ones go by the shingle."""
+    rank = np.full(len(g), -1, dtype=np.int64)
+    if len(late):
+        by_hash = np.argsort(late)
+        sorted_late = late[by_hash]
+        at = np.minimum(np.searchsorted(sorted_late, g), len(late) - 1)
+        hit = sorted_late[at] == g
+        rank[hit] = by_hash[at[hit]]
+    return rank
+
+
+def _shared(pivots: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``r, m, open, rank``: the distinct pivots ``r`` that at least two classes list.
 
     ``m`` comes with two flags: listed among the pivots that count, and early.
     ``open`` rows are the former, where some member of the region is early.
@@ -256,7 +300,8 @@ def _shared(pivots: DataFrame) -> DataFrame:
     """
     n = shuffle_partitions(pivots.sparkSession)
     dealt = pivots.repartition(n, "r").sortWithinPartitions("r", "m")
-    schema = pa.schema([("r", pa.int64()), ("m", pa.int64()), ("open", pa.bool_())])
+    late = pivots.sparkSession.sparkContext.broadcast(heavy)
+    schema = pa.schema([("r", pa.int64()), ("m", pa.int64()), ("open", pa.bool_()), ("rank", pa.int64())])
 
     def done(r: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
         cls = m & _CLASS
@@ -269,7 +314,10 @@ def _shared(pivots: DataFrame) -> DataFrame:
         early = np.bincount(group, weights=(m & 1) > 0) > 0
         keep = other & (members[group] > 1)
         opened = ((m & 2) > 0) & early[group]
-        return pa.RecordBatch.from_arrays([pa.array(r[keep]), pa.array(cls[keep]), pa.array(opened[keep])], schema=schema)
+        rank = _ranks(r[keep], late.value)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(r[keep]), pa.array(cls[keep]), pa.array(opened[keep]), pa.array(rank)], schema=schema
+        )
 
     def run(batches: Iterator[pa.RecordBatch]):
         rest = None  # rows of the last pivot, which may go on in the next batch
@@ -286,7 +334,7 @@ def _shared(pivots: DataFrame) -> DataFrame:
         if rest is not None:
             yield done(*rest)
 
-    return dealt.mapInArrow(run, "r long, m long, open boolean")
+    return dealt.mapInArrow(run, "r long, m long, open boolean, rank long")
 
 
 def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
@@ -295,10 +343,12 @@ def _ringed(regions: DataFrame, ring: Column) -> DataFrame:
     Two members whose rings are the same or neighbours meet once.  Rings
     without a member of their own, or with one alone, are done.
     """
-    places = F.array(*[F.struct((ring + i).alias("g"), F.lit(1 - i).alias("home")) for i in (0, 1)])
-    split = regions.select("r", "m", "n", F.explode(places).alias("z")).select(F.xxhash64("r", "z.g").alias("r"), "m", "n", "z.home")
-    alive = split.groupBy("r").agg(F.sum("home").alias("h"), F.count(F.lit(1)).alias("c")).filter("h > 0 and c > 1")
-    return split.join(alive.select("r"), "r").select("r", "m", "n")
+    places = F.array(*[F.struct((F.col("ring") + i).alias("g"), F.lit(1 - i).alias("home")) for i in (0, 1)])
+    dealt = regions.select("r", "m", "n", ring.alias("ring")).repartition(shuffle_partitions(regions.sparkSession), "r")
+    split = dealt.select("r", "m", "n", F.explode(places).alias("z")).select("r", "z.g", "m", "n", "z.home")
+    own = Window.partitionBy("r", "g")
+    counted = split.withColumn("h", F.sum("home").over(own)).withColumn("c", F.count(F.lit(1)).over(own))
+    return counted.filter("h > 0 and c > 1").select(F.xxhash64("r", "g").alias("r"), "m", "n")
 
 
 def _led(regions: DataFrame, label: DataFrame, level: int) -> DataFrame:
@@ -308,11 +358,11 @@ def _led(regions: DataFrame, label: DataFrame, level: int) -> DataFrame:
     region: near copies share some dozens of pivots, and their regions, which hold
     nearly the same members, mostly have the same lead.
     """
-    state = regions.join(label, "m")
     order = F.struct(F.xxhash64(F.lit(level), "m").alias("o"), F.col("m").alias("p"))
-    lead = state.groupBy("r").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(order).alias("x"))
-    lead = lead.filter("lo < hi").select("r", F.col("x.p").alias("p"))
-    return state.join(lead, "r").select(F.col("p").alias("r"), "m", "n", "comp").distinct()
+    own = Window.partitionBy("r")
+    state = regions.join(label, "m").withColumn("lo", F.min("comp").over(own)).withColumn("hi", F.max("comp").over(own))
+    state = state.withColumn("x", F.min(order).over(own)).filter("lo < hi")
+    return state.select(F.col("x.p").alias("r"), "m", "n", "comp").distinct()
 
 
 def _grouped(state: DataFrame, group: int, level: int) -> DataFrame:
@@ -381,12 +431,15 @@ def components(
     core = at <= n - F.ceil(n * keep.numerator / keep.denominator)
     flags = F.when(early, 3).when(core, 2).otherwise(0)
     pivots = listed.filter(full).select("s1", "n", F.posexplode("prefix").alias("at", "r"))
-    shared = written(_shared(pivots.select("r", F.col("s1").bitwiseOR(flags.cast("long")).alias("m"))), "jaccard-shared")
+    pivots = pivots.select("r", F.col("s1").bitwiseOR(flags.cast("long")).alias("m"))
+    shared = written(_shared(pivots, heavy), "jaccard-shared")
     # A set linked to another has at least so many pivots in common with it, whichever the other's size.
     least = F.floor(F.ceil(n * keep.numerator / keep.denominator) / _EXTRA) + 1
-    tally = shared.groupBy(F.col("m").alias("s1")).agg(F.count(F.lit(1)).alias("c"))
-    able = tally.join(classes.select("s1", "n"), "s1").filter(F.col("c") >= least).select(F.col("s1").alias("m"), "n")
-    regions = shared.filter("open").select("r", "m").join(able, "m")
+    # Then it has the first of them, in the order of pivots, among those but its last `least - 1`.
+    own = Window.partitionBy("m")
+    placed = shared.join(classes.select(F.col("s1").alias("m"), "n"), "m")
+    placed = placed.withColumn("at", F.row_number().over(own.orderBy("rank", "r"))).withColumn("c", F.count(F.lit(1)).over(own))
+    regions = placed.filter("open").filter(F.col("at") <= F.col("c") - least + 1).select("r", "m", "n")
     # Sizes of linked sets differ by the factor `keep` at most: they lie in one or in neighbouring rings.
     ring = F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / keep) * 1.01)).cast("long")
     regions = written(_ringed(regions, ring), "jaccard-regions")
@@ -413,8 +466,9 @@ def components(
             break
         groups = written(_grouped(state, group, level), "jaccard-groups")
         drop_written(state)
-        found = written(_linked(groups.join(sets, "m"), keep), "jaccard-linked")
-        drop_written(groups)
+        alike = written(_alike(groups.join(sets.select("m", "n", "bits"), "m"), keep), "jaccard-alike")
+        found = written(_linked(alike.join(sets.select("m", "items"), "m"), keep), "jaccard-linked")
+        drop_written(groups, alike)
         close = written(found.filter("other is not null").select(F.col("m").alias("p"), F.col("other").alias("m")), "jaccard-links")
         links = close if links is None else links.unionByName(close)
         known, label = label, written(smallest_reachable(wanted, links, node="m", a="p", b="m", label="comp"), "jaccard-labels")
